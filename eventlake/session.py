@@ -20,6 +20,7 @@ def session(cores: int = 8, partitions: int = 8, app: str = "eventlake") -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
