@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from eventlake.plans import problems
+from eventlake.plans import catalog, extraction, listings, problems
 
-MODULES = [problems]
+MODULES = [problems, listings, catalog, extraction]
 
 
 def queries() -> dict:
@@ -16,4 +16,4 @@ def oracle_sql() -> dict:
 
 
 def flagship(spark, sf_dir: str):
-    return queries()["p1_found"](spark, sf_dir)
+    return queries()["upcoming_by_city"](spark, sf_dir)
