@@ -72,7 +72,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capa
     out). The result is the same at every run: it depends on ids and sizes alone. An empty table gives no rows.
     """
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), size.alias("n"))
+    rows = stored(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), size.alias("n")))  # sizes may be dear to compute
     pieces = rows.where("n > 0").select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / capacity))).alias("k"))
     items = stored(pieces.select(F.struct("id", "k").alias("item"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("k") * capacity).alias("size")))
     n = max(math.ceil(items.count() / group), 1)
