@@ -2,8 +2,9 @@
 
 Each attribute first gets a key under which its spellings are equal: acts and towns by :func:`variants.name_groups`,
 dates by a parser, venues by their sorted skeletons. Rules then join on ever weaker combinations of the keys; a rule
-that relaxes the date takes only pairs one side of which no earlier rule has resolved. A pair's confidence is its first
-rule's precision, measured on labelled pairs if there are any, else on the attribute the rule does not use.
+that relaxes the date takes only listings that no earlier rule has resolved, lest the second of two nights be taken for
+the first. A pair's confidence is its first rule's precision, measured on labelled pairs if there are any, else on the
+attribute the rule does not use.
 """
 
 from __future__ import annotations
@@ -88,15 +89,14 @@ def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> Data
     return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "town", "r_town", "venue", "r_venue")
 
 
-def cascade(entries: DataFrame, listings: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def cascade(entries: DataFrame, listings: DataFrame) -> DataFrame:
     """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is the proxy label, null where it cannot be told."""
     found = None
     for no, (name, keys, off) in enumerate(RULES, 1):
-        if off and found is not None:
+        if off:
             found = cut(found)
-            done_e, done_l = found.select(F.col("entry_id").alias("id")).distinct(), found.select(F.col("listing_id").alias("id")).distinct()
-            rest_e, rest_l = entries.join(done_e, "id", "left_anti"), listings.join(done_l, "id", "left_anti")
-            pairs = _joined(rest_e, listings, keys, off).unionByName(_joined(entries, rest_l, keys, off)).distinct()
+            rest = listings.join(found.select(F.col("listing_id").alias("id")).distinct(), "id", "left_anti")
+            pairs = _joined(entries, rest, keys, off)
         else:
             pairs = _joined(entries, listings, keys, off)
         missing = F.col("town").isNull() | F.col("r_town").isNull()

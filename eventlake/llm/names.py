@@ -114,7 +114,10 @@ class Roles:
     """The words many names share, by skeleton, and their typed forms."""
 
     def __init__(self, words: list[str]):
-        self.words = {skeleton(w): latin(w) for w in words if len(skeleton(w)) > 1 and not skeleton(w).isdigit()}
+        self.words: dict[str, str] = {}
+        for w in [*(f for f in NICKNAMES if f in words), *sorted(words)]:  # of words with one skeleton a first name's usual form, else the first
+            if len(skeleton(w)) > 1 and not skeleton(w).isdigit():
+                self.words.setdefault(skeleton(w), latin(w))
         self.words.pop("te", None)
         self.short = {k: v for k, v in SHORT.items() if skeleton(v) in self.words}
         self.nick = {skeleton(n): f for f, ns in NICKNAMES.items() if skeleton(f) in self.words for n in ns.split()}
@@ -134,6 +137,10 @@ class Roles:
             limit = 1 if len(s) <= 6 else 2
             near = [(d, w) for n in range(len(s) - limit, len(s) + limit + 1) for w in self.by_length.get(n, ()) if len(w) > 3 and (d := edits(s, w, own := limit if len(w) >= 6 else 1)) <= own]
             found = self.words[min(near)[1]] if near else None
+            if not found:
+                typed = latin(word.rstrip("."))
+                near = sorted((d, w) for w in self.words.values() if len(w) > 4 and (d := edits(typed, w, own := 1 if len(typed) <= 6 else 2)) <= own)
+                found = near[0][1] if near else None
             if not found and len(s) <= 8:
                 near = sorted(n for n in self.nick if len(n) >= 4 and edits(s, n, 1) <= 1)
                 found = self.nick[near[0]] if near else None
@@ -194,7 +201,7 @@ def parse(text: str, roles: Roles, place: bool = False) -> Name:
         s = skeleton(w)
         if not s:
             continue
-        if s == "te" or (len(low.rstrip(".")) <= 4 and not w.endswith(".") and edits(latin(low), "the", 1) <= 1):
+        if s == "te" or (s not in roles.nick and len(low.rstrip(".")) <= 4 and not w.endswith(".") and edits(latin(low), "the", 1) <= 1):
             continue
         if len(s) == 1 and s.isalpha():
             if w.endswith(".") and place and (r := [x for x in ("san", "saint") if low[0] == "s"]):

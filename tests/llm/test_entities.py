@@ -180,8 +180,8 @@ def test_matches(spark):
     ]
     e, l = spark.createDataFrame([(*x, "") for x in entries], ENTRY), spark.createDataFrame([(*x, "") for x in listings], LISTING)  # noqa: E741
     got = {(r.entry_id, r.listing_id): r for r in matching.matches(e, l).collect()}
-    # Listing 11 is the second of two nights; entry 1, without a partner of its own day, is taken to be off by a day.
-    assert set(got) == {(2, 11), (1, 11), (3, 13), (5, 14), (8, 15)}
+    # Listing 11 is the second of two nights, so entry 1, the first, has no partner; listing 15 is off by a day.
+    assert set(got) == {(2, 11), (3, 13), (5, 14), (8, 15)}
     assert got[2, 11].rule_no == 1 and got[8, 15].rule_no == 5 and all(0 < r.confidence < 1 for r in got.values())
     labelled = matching.matches(e, l, labels=spark.createDataFrame([(2, 11, True), (8, 15, False)], "entry_id long, listing_id long, same boolean"))
     by = {(r.entry_id, r.listing_id): r.confidence for r in labelled.collect()}
