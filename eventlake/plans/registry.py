@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from eventlake.plans import catalog, extraction, listings, problems
+from eventlake.plans import catalog, extraction, feeds, listings, problems
 
-MODULES = [problems, listings, catalog, extraction]
+MODULES = [problems, listings, catalog, extraction, feeds]
 
 
 def queries() -> dict:
