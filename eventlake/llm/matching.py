@@ -121,7 +121,11 @@ def matches(entries: DataFrame, listings: DataFrame, cities: DataFrame | None =
     "online" and the like count as missing. Repeated rows come once. Empty tables give no rows.
     """
     e, l = keyed(entries, listings, cities)  # noqa: E741
-    pairs = cut(cascade(e.distinct(), l.distinct()))
+    return with_confidence(cut(cascade(e.distinct(), l.distinct())), labels)
+
+
+def with_confidence(pairs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Pairs (entry_id, listing_id, rule_no, agrees) with their rule's smoothed precision in place of ``agrees``."""
     told = pairs.select("rule_no", F.col("agrees").alias("good"))
     if labels is not None:
         told = pairs.join(labels.select("entry_id", "listing_id", F.col("same").alias("good")), ["entry_id", "listing_id"]).select("rule_no", "good")

@@ -183,9 +183,15 @@ def test_matches(spark):
     # Listing 11 is the second of two nights, so entry 1, the first, has no partner; listing 15 is off by a day.
     assert set(got) == {(2, 11), (3, 13), (5, 14), (8, 15)}
     assert got[2, 11].rule_no == 1 and got[8, 15].rule_no == 5 and all(0 < r.confidence < 1 for r in got.values())
-    labelled = matching.matches(e, l, labels=spark.createDataFrame([(2, 11, True), (8, 15, False)], "entry_id long, listing_id long, same boolean"))
-    by = {(r.entry_id, r.listing_id): r.confidence for r in labelled.collect()}
-    assert by[2, 11] > by[8, 15]
+
+
+def test_confidence(spark):
+    pairs = spark.createDataFrame([(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, None), (4, 4, 2, False), (5, 5, 3, None)], "entry_id long, listing_id long, rule_no int, agrees boolean")
+    got = {r.entry_id: r.confidence for r in matching.with_confidence(pairs).collect()}
+    assert got == {1: 0.75, 2: 0.75, 3: 0.75, 4: 0.333333, 5: 0.5}
+    labels = spark.createDataFrame([(1, 1, False), (4, 4, True), (9, 9, True)], "entry_id long, listing_id long, same boolean")
+    got = {r.entry_id: r.confidence for r in matching.with_confidence(pairs, labels).collect()}
+    assert got == {1: 0.333333, 2: 0.333333, 3: 0.333333, 4: 0.666667, 5: 0.5}
 
 
 def test_matches_of_nothing(spark):
