@@ -10,7 +10,7 @@ from eventlake.session import session
 
 @pytest.fixture(scope="session")
 def spark():
-    s = session(cores=4, partitions=4, app="tests")
+    s = session(cores=4, partitions=2, app="tests")
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
