@@ -53,3 +53,30 @@ def fold_bindings(rows: DataFrame, name: str, item: str, value: str, order: str)
     """(name, items, ambiguous, value): how many things a name stands for and its first non-empty value."""
     there = F.length(F.coalesce(F.col(value), F.lit(""))) > 0
     return rows.groupBy(name).agg(F.countDistinct(item).alias("items"), (F.countDistinct(item) > 1).alias("ambiguous"), F.min_by(F.when(there, F.col(value)), F.when(there, F.col(order))).alias(value))
+
+
+def merged_suffixes(df: DataFrame, name: str, order: str, kept: tuple[str, ...] = ()) -> DataFrame:
+    """One row for names that differ only in a bracket such as "(band)": the name without one, then with most capitals, then the first.
+
+    Of other columns the last row's value counts, of those in ``kept`` the last that is not null. Rows without a name are left out.
+    """
+    key = F.regexp_replace(text.norm_key(name), r"\s*\((?:band|singer|musician|group|rapper|dj|duo|artist)[^)]*\)$", "")
+    rows = df.where(F.col(name).isNotNull()).withColumn("key", key)
+    bare = (text.norm_key(name) == F.col("key")).cast("int")
+    best = F.max_by(name, F.struct(bare, text.capitals(name), -F.col(order))).alias(name)
+    rest = [c for c in df.columns if c not in (name, order)]
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)) if c in kept else F.col(order)).alias(c) for c in rest]
+    return rows.groupBy("key").agg(best, F.min(order).alias(order), *last).drop("key")
+
+
+def beside(left: DataFrame, right: DataFrame, page: str, at: str, limit: float, order: str) -> DataFrame:
+    """Each row of ``left`` with the first row (by ``order``) of ``right`` on its page less than ``limit`` away, if there is one.
+
+    A range join by equal stripes of width ``limit``: a row meets its own stripe and the two beside it, never the whole page.
+    """
+    stripe = F.floor(F.col(at) / limit).cast("long")
+    near = left.withColumn("_s", F.explode(F.array(stripe - 1, stripe, stripe + 1)))
+    other = right.select(F.col(page).alias("_p"), stripe.alias("_t"), F.struct(*right.columns).alias("_r"))
+    hits = near.join(other, (F.col(page) == F.col("_p")) & (F.col("_s") == F.col("_t"))).where(F.abs(F.col(at) - F.col(f"_r.{at}")) < limit)
+    first = hits.groupBy(*left.columns).agg(F.min_by("_r", F.col(f"_r.{order}")).alias("match"))
+    return first

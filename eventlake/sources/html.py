@@ -339,6 +339,16 @@ def by_hydration(html: str, url: str | None, s: dict) -> list[dict]:
 EXTRACTORS = {"static_selectors": by_selectors, "jsonld": by_markup, "json_api": by_body, "next_data": by_hydration}
 
 
+def register(kind: str):
+    """Adds an extractor, a function of (html, url, selectors) that returns rows of FIELDS, under a name of its own."""
+
+    def keep(f):
+        EXTRACTORS[kind] = f
+        return f
+
+    return keep
+
+
 def extract(pages: DataFrame, kind: str, selectors: dict, page_col: str = "page_id", html_col: str = "html", url_col: str | None = "url") -> DataFrame:
     """(page_col, pos, FIELDS...) of the listings of each page by one kind of extractor; null and empty pages yield none."""
     f = EXTRACTORS[kind]
@@ -375,7 +385,7 @@ def client_rendered(html: Column | str) -> Column:
 def embedded_state(html: Column | str, name: str = "__SERVER_DATA__") -> Column:
     """The JSON text a page assigns to a window variable, null if there is none or it does not parse."""
     h = F.col(html) if isinstance(html, str) else html
-    body = F.nullif(F.regexp_extract(h, rf"window\.{name}\s*=\s*(\{{.*?\}});?\s*(?:\n|</script>)", 1), F.lit(""))
+    body = F.nullif(F.regexp_extract(h, rf"(?s)window\.{name}\s*=\s*(\{{.*?\}});?[^\S\n]*(?:\n|</script>)", 1), F.lit(""))
     return F.when(F.try_parse_json(body).isNotNull(), body)
 
 

@@ -16,13 +16,13 @@ def values(spark, column, inputs):
 
 
 CASES = [
-    (text.slug, {"The Owls": "the-owls", "Zürich_Two  Bees!": "zurichtwo-bees", "Ёлка": "елка", "A - B": "a-b", "": "artist-0", "!!!": "artist-wb1", None: None, "---": "artist-wwd"}),
+    (text.slug, {"The Owls": "the-owls", "Zürich_Two  Bees!": "zurichtwo-bees", "Ёлка": "елка", "A - B": "a-b", "": "artist-0", "!!!": "artist-pa9", None: None, "---": "artist-yh9"}),
     (text.clean_artist, {"Nine Owls - SOLD OUT": "Nine Owls", "Nine Owls (Sold Out)": "Nine Owls", "B-Live": "B-Live", "Nine Owls - Live at X": "Nine Owls", "Nine Owls live in Rome": "Nine Owls", "Live": "Live", "Owl - Special Guest: Z": "Owl", "Owl - Tour 26": "Owl", "Owl (support)": "Owl", "Owl (live)": "Owl", "Owl - Livery": "Owl - Livery"}),
     (text.norm_key, {"  A   b\tC ": "a b c", "": "", None: None}),
     (text.word_key, {"Éclair!": "e clair", "A.B-c": "a b c", "Ünal": "u nal"}),
     (text.country, {"Germany": "DE", "de": "DE", "UK": "GB", "Bulgaria, Plovdiv": "BG", "Slovakia (Slovak Republic)": "SK", "Atlantis": "ATLANTIS", "The Netherlands ": "NL", "Czech Republic": "CZ"}),
     (text.country_or_null, {"Deutschland": "DE", "zz": "ZZ", "Atlantis": None, "": None, "USA": "US"}),
-    (text.venue_kind, {"City Stadium": "stadium", "Pub Arena": "arena", "Opera Bar": "theatre", "Barn": None, "Épub": None, "Open Air Hall": "open-air", "Saal 3": "hall", "": None}),
+    (text.venue_kind, {"City Stadium": "stadium", "Pub Arena": "arena", "Opera Bar": "theatre", "Barn": None, "Épub": "club", "Open Air Hall": "open-air", "Saal 3": "hall", "": None}),
     (text.embedded_time, {"2026-01-01T20:30:00": "20:30", "2026-01-01T24:30": None, "20:30": None, "T09:60": None}),
     (text.capitals, {"AbCÉ": 3, "": 0, "abc": 0}),
     (country.country_code, {"España": "ES", " gb ": "GB", "nowhere": None}),
@@ -40,7 +40,7 @@ def test_function(spark, function, cases):
 DATES = {
     "today": "2026-07-20", "Heute": "2026-07-20", "tomorrow": "2026-07-21", "4 de mayo de 2027": "2027-05-04", "1 de enero": "2027-01-01", "2026-07-08": "2026-07-08", "17.9.26": "2026-09-17", "9/17/2026": "2026-09-17", "5.6.": "2027-06-05", "30.6": "2026-06-30",
     "12. Okt 2026": "2026-10-12", "March 5, 2027": "2027-03-05", "3 juli": "2026-07-03", "Jan 5": "2027-01-05", "2026-07-08T21:00:00Z": "2026-07-08", "Sat 12 July - 14 July 2026 doors": "2026-07-12", "Fr 24 Juli 20:00": "2026-07-24", "12 июля": "2026-07-12", "сб 12 июля 19:00": None,
-    "30.2.2026": None, "2026-13-01": None, "12.7.026": None, "October 3rd 2026": "2026-10-03", "12 siječnja 2027": None, "doors 8pm": None, "": None, None: None, " 2026-07-08 20:00": None, "29 feb": None, "19 June": "2027-06-19", "19. Juni 2026 ab 20 Uhr": "2026-06-19",
+    "30.2.2026": None, "2026-13-01": None, "12.7.026": None, "October 3rd 2026": "2026-10-03", "12 siječnja 2027": None, "doors 8pm": None, "": None, None: None, " 2026-07-08 20:00": None, "29 feb": None, "19 June": "2026-06-19", "18 June": "2027-06-18", "19. Juni 2026 ab 20 Uhr": "2026-06-19",
 }
 
 

@@ -11,7 +11,7 @@ from eventlake.sources import html
 
 LIST = ["Owls", "Baby", "Fire", "Nine Grey Owls", "Against Them!", "abc", "Rammclaw", "Kestrel Street", "Coverdale", "alan", "Alan Heron"]
 TITLES = {
-    "OWLS": ("Owls", 1), "Owls at the Barn": ("Owls", 3), "xOwls": (None, None), "Baby Keem": (None, None), "Wall of Fire": (None, None), "Fire of Wall": (None, None), "Nine Grey Owls": ("Nine Grey Owls", 1), "the nine grey owls - Rome": (None, None), "Against Them! live": ("Against Them!", 3),
+    "OWLS": ("Owls", 1), "Owls at the Barn": ("Owls", 3), "xOwls": ("Owls", 4), "xyOwls": (None, None), "Baby Keem": (None, None), "Wall of Fire": (None, None), "Fire of Wall": (None, None), "Nine Grey Owls": ("Nine Grey Owls", 1), "the nine grey owls - Rome": (None, None), "Against Them! live": ("Against Them!", 3),
     "abc": ("abc", 1), "abc at night": (None, None), "Rammclwa": ("Rammclaw", 4), "Kestrel Stret": ("Kestrel Street", 4), "Owls Tribute": (None, None), "Coverdale": ("Coverdale", 1), "Owlz": ("Owls", 4), "Ow": (None, None), "alan heron in town": ("Alan Heron", 3), "Fire": ("Fire", 1),
     "an evening about owls and many other things of the wood": (None, None), "Kestrél Streets": ("Kestrel Street", 4),
 }
@@ -162,3 +162,20 @@ def test_catalogue(spark):
     assert [(r.key, r.name, r.ord) for r in catalog.case_variants(df, "name", "ord").collect()] == [("the owls", "THE OWLS", 0)]
     a = spark.createDataFrame([("N", ["n ", "A", None, "a", "B", ""])], "name string, aliases array<string>")
     assert a.select(catalog.union_aliases(F.col("name"), F.col("aliases"))).first()[0] == ["A", "B"]
+
+
+def test_suffixes_and_stripes(spark):
+    df = spark.createDataFrame([("Owl (band)", 0, "w", None), ("owl", 1, None, "a"), ("OWL", 2, "x", None), (None, 3, "y", "b")], "name string, ord int, site string, mbid string")
+    assert [tuple(r) for r in catalog.merged_suffixes(df, "name", "ord", ("mbid",)).select("name", "ord", "site", "mbid").collect()] == [("OWL", 0, "x", "a")]
+    left = spark.createDataFrame([(1, "d1", 10.0), (1, "d2", 300.0), (2, "d3", 10.0)], "page int, what string, top double")
+    right = spark.createDataFrame([(1, 5, 69.9), (1, 2, 60.0), (1, 1, 70.0), (2, 9, 500.0)], "page int, n int, top double")
+    assert [(r.what, r.match.n) for r in catalog.beside(left, right, "page", "top", 60.0, "n").collect()] == [("d1", 2)]
+
+
+def test_own_extractor(spark):
+    @html.register("upper")
+    def upper(page, url, selectors):
+        return [dict.fromkeys(html.FIELDS, page.upper())]
+
+    df = spark.createDataFrame([(1, "x", None)], "page_id long, html string, url string")
+    assert html.extract(df, "upper", {}).first().artist == "X"

@@ -80,7 +80,7 @@ def test_pairs_within_equals_brute_force(spark, rows):
     points += [(2000 + i, 10.0, 10.0) for i in range(40)] + [(3000, None, 1.0), (3001, float("nan"), 1.0), (3002, 95.0, 1.0), (3003, 10.0, 190.0), (None, 10.0, 10.0)]
     good = [p for p in points if p[0] is not None and p[0] < 3000]
     for radius in (1.0, 12.0):
-        want = sorted((a[0], b[0]) for a, b in itertools.combinations(good, 2) if km(a, b) <= radius)
+        want = sorted(((a[0], b[0]) for a, b in itertools.combinations(good, 2) if km(a, b) <= radius), key=repr)
         df = spark.createDataFrame(points, "id long, lat double, lng double")
         for target in (20_000, 50):  # one range; many ranges, some of a single code
             got = spatial.pairs_within(df, "id", F.col("lat"), F.col("lng"), radius, target=target)
