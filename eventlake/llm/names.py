@@ -100,9 +100,12 @@ def edits(a: str, b: str, limit: int) -> int:
     return min(row[-1], limit + 1)
 
 
+LONGEST = 40  # letters of a word beyond which it is no misspelt one, only the same or another
+
+
 def reach(n: int) -> int:
     """Edits within which two stems of about n letters are taken as one."""
-    return 0 if n <= 3 else 1 if n <= 5 else 2
+    return 0 if n <= 3 or n > LONGEST else 1 if n <= 5 else 2
 
 
 def _uncased(word: str) -> str:

@@ -98,7 +98,7 @@ def documents(spark):
     rows = []
     for i in range(120):
         level = i % 2
-        text = " ".join(rng.choice([HARD, HARD + " Further."] if level else [EASY, EASY + " It was fun."]) for _ in range(rng.randint(4, 9)))
+        text = " ".join(rng.choice([HARD, HARD + " Further."] if level else [EASY, EASY + " It was fun."]) for _ in range(rng.randint(9, 14)))
         rows.append((i, text, "en", len(text), "bio", "clash"))
     rows += [(500, EASY * 10, None, 500, "listing", ""), (501, EASY, "en", 40, "bio", ""), (502, None, "en", 900, None, ""), (503, HARD * 3, "xx", 900, None, ""), (504, "<p>123 456</p>", "en", 300, "bio", ""), (1, "x", "en", 300, "bio", "")]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, doc_kind string, reading_level string")
