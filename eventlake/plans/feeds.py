@@ -53,5 +53,5 @@ _LAND = "CASE lower(country) WHEN 'germany' THEN 'DE' WHEN 'uk' THEN 'GB' WHEN '
 SQL = {
     "S09_feed_a": f"""WITH {ORACLE} SELECT seq, artist, date, '19:30' AS start_time, venue, city, country, lat, lng, ticket_url, CASE WHEN ticket_url IS NOT NULL THEN 'Fest' END AS festival, CASE WHEN ticket_url IS NOT NULL THEN 'Support' END AS lineup FROM raw_event WHERE lat IS NOT NULL""",
     "S12_feed_b": f"""WITH {ORACLE} SELECT seq, artist, substr(date, 1, 10) AS date, CASE WHEN date LIKE '%T20:30%' THEN '20:30' END AS start_time, venue, city, {_LAND} AS country, lat, lng, ticket_url FROM raw_event WHERE artist NOT LIKE '% Keem'""",
-    "S16_feed_c": f"""WITH {ORACLE} SELECT seq, artist, date, '18:00' AS start_time, venue, city, country, lat, lng, ticket_url FROM raw_event WHERE lat IS NOT NULL""",
+    "S16_feed_c": f"""WITH {ORACLE} SELECT seq, artist, date, '18:00' AS start_time, venue, city, country, lat, lng, ticket_url FROM raw_event WHERE lat IS NOT NULL AND regexp_matches(artist, '[A-Za-z0-9_] \\S+$')""",
 }
