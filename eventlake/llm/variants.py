@@ -20,21 +20,60 @@ from eventlake.llm.canonical import DISTRICT, PLACE_WORDS, deletions
 from eventlake.llm.components import components
 from eventlake.session import cut, parallelism, stored
 
-SHARE, LEAST = 0.001, 8  # a word is shared if so large a share, and so many, of the distinct names have it
+SHARE, LEAST = 0.001, 8  # a word can be shared if so large a share, and so many, of the distinct names have it,
+PARTNERS = 5  # and is if it goes with so many different words; measured: words of one act 4 at most, shared ones 5 and more
 FIXED = sorted({*N.NICKNAMES, *N.SHORT.values()} - {"new", "bad", "port", "mount", "saint"})
 
 
+def _words(text: str) -> set[str]:
+    return {N.latin(x.rstrip(".")) for x in N.split(N.stripped(text))}
+
+
 def shared_words(distinct_names: DataFrame, place: bool = False) -> list[str]:
-    """The words many of the names (name) share. At most 1 / SHARE times the words of a name come to the driver."""
+    """The words many of the names (name) share. At most 1 / SHARE times the words of a name come to the driver.
+
+    A frequent act's own word is in many spellings, but with few different words, if misspelt frequent words count as what
+    they are meant for. Different words are counted as the inverse of Simpson's index, so that stray ones do not add up.
+    """
 
     def f(batches):
         for b in batches:
-            c = Counter(w for t in b.column(0).to_pylist() for w in {N.latin(x.rstrip(".")) for x in N.split(N.stripped(t))})
+            c = Counter(w for t in b.column(0).to_pylist() for w in _words(t))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
 
     total = distinct_names.count()
     words = distinct_names.select("name").mapInArrow(f, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LEAST, SHARE * total))
-    return sorted({r["word"] for r in words.collect()} | set(PLACE_WORDS if place else FIXED))
+    often = sorted(r["word"] for r in words.collect())
+    fixed = PLACE_WORDS if place else FIXED
+    known = distinct_names.sparkSession.sparkContext.broadcast(sorted({s for w in (*often, *fixed) if len(s := N.skeleton(w)) > 1 and not s.isdigit()}))
+
+    def g(batches):
+        near: dict[str, str] = {}
+        for s in known.value:
+            for d in deletions(s, N.reach(len(s))):
+                near.setdefault(d, s)
+        near |= {s: s for s in known.value}
+        asked, met = set(known.value), {}
+
+        def meant(word):
+            if word not in met:
+                s = N.skeleton(word)
+                met[word] = next((near[d] for d in sorted(deletions(s, N.reach(len(s))), key=lambda d: (-len(d), d)) if d in near), s) if s else s
+            return met[word]
+
+        for b in batches:
+            c = Counter()
+            for t in b.column(0).to_pylist():
+                ws = {m for w in _words(t) if len(m := meant(w)) > 1 and m != "te"}
+                c.update((x, y) for x in ws & asked for y in ws if x != y)
+            if len(met) > 500_000:
+                met.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in c], pa.string()), pa.array([y for _, y in c], pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "other", "n"])
+
+    with_others = distinct_names.select("name").mapInArrow(g, "word string, other string, n long").groupBy("word", "other").agg(F.sum("n").cast("double").alias("n"))
+    wide = with_others.groupBy("word").agg((F.pow(F.sum("n"), 2) / F.sum(F.col("n") * F.col("n"))).alias("partners")).where(F.col("partners") >= PARTNERS)
+    shared = {r["word"] for r in wide.collect()}
+    return sorted({w for w in often if N.skeleton(w) in shared} | set(fixed))
 
 
 SIGNATURE = "name string, key string, frame string, stem string, rest string, initial boolean, initial_frame string, linkable boolean"
@@ -61,8 +100,9 @@ def signatures(distinct_names: DataFrame, words: list[str], place: bool = False)
                 if stem:
                     rest.remove(stem)
                 first = [r for r in n.roles if r in firsts]
-                as_initial = n._replace(roles=tuple(r for r in n.roles if r not in first), initials=(first[0][0],)).frame if len(first) == 1 and not n.initials else None
-                rows.append((text, n.key, n.frame, stem, " ".join(rest), bool(n.initials), n.frame if n.initials else as_initial, bool(stem)))
+                own = tuple(r for r in n.roles if r[0] != "#")  # without a stem, the shared words tell the act: all must be equal
+                as_initial = n._replace(roles=tuple(r for r in own if r not in first), initials=(first[0][0],)).frame if len(first) == 1 and not n.initials else None
+                rows.append((text, n.key, n.frame, stem, " ".join(rest), bool(n.initials), n._replace(roles=own).frame if n.initials else as_initial, bool(stem or set(own) - set(first))))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(),) * 5 + (pa.bool_(), pa.string(), pa.bool_()))] if rows else [pa.array([], t) for t in (pa.string(),) * 5 + (pa.bool_(), pa.string(), pa.bool_())], names=["name", "key", "frame", "stem", "rest", "initial", "initial_frame", "linkable"])
 
     return distinct_names.select("name").mapInArrow(f, SIGNATURE)

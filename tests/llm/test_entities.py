@@ -142,6 +142,18 @@ def test_same_acts(spark, rows):
     assert got == sorted((p for g in groups for p in itertools.combinations(g, 2)), key=repr)
 
 
+def test_frequent_acts_keep_their_words(spark):
+    """An act's own word in many spellings is not a shared one, and a name of shared words only is still linked."""
+    said = ["Alexander Bofutar", "Alex Bofutar", "Sasha Bofutar", "Alexnader Bofutar", "Alexandr Bofutar", "Aleksander Bofutar", "Bofutar, Alexander", "Alexander Bofutar (live)", "ALEXANDER Bofutar", "Alexander Bofutar - SOLD OUT", "A. Bofutar"]
+    packs = [f"{w} Wolves" for w in ("Kevaruzim", "Zosepak", "Midoral", "Gafunek", "Tobirus", "Hurabol", "Zimekad", "Lekanor")]
+    df = spark.createDataFrame([(n,) for n in [*said, *packs, "Robert Wolves", "R. Wolves", "Robert", "R."]], "name string")
+    words = variants.shared_words(df)
+    assert "bofutar" not in words and "wolves" in words
+    got = {r.name: r.grp for r in variants.name_groups(df).collect()}
+    assert len({got[n] for n in said}) == 1 and len({got[n] for n in packs}) == len(packs)
+    assert got["R. Wolves"] == got["Robert Wolves"] and got["R."] != got["Robert"]
+
+
 def test_same_acts_of_nothing(spark, rows):
     assert rows(variants.same_act_pairs(spark.createDataFrame([], CATALOG), spark.createDataFrame([], GAPS))) == []
 
