@@ -72,7 +72,7 @@ def keyed(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = No
     )
     rows = stored(both.where(F.col("id").isNotNull() & F.col("artist").isNotNull() & F.col("day").isNotNull()))
     acts = stored(name_groups(rows.select(F.col("artist").alias("name"))).select(F.col("name").alias("artist"), F.col("grp").alias("act")))
-    known = cities.select(F.col("city").alias("name"), F.explode("alt_names").alias("alias")).where(F.col("name").isNotNull() & F.col("alias").isNotNull()) if cities is not None else None
+    known = cities.select(F.col("city").alias("name"), F.explode_outer("alt_names").alias("alias")).where(F.col("name").isNotNull()) if cities is not None else None
     towns = name_groups(rows.select(F.col("city").alias("name")).where(F.col("name").isNotNull()), place=True, aliases=known)
     towns = stored(towns.where(~F.col("grp").startswith("!")).select(F.col("name").alias("city"), F.col("grp").alias("town")))
     out = rows.join(acts, "artist").join(towns, "city", "left").join(_venue_keys(rows), "venue", "left").select("entry", "id", "act", "town", "day", F.col("venue_key").alias("venue"))

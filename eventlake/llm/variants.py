@@ -146,14 +146,18 @@ def _near(pairs: DataFrame) -> DataFrame:
 def name_groups(names: DataFrame, place: bool = False, aliases: DataFrame | None = None) -> DataFrame:
     """(name, grp): the group of each distinct non-null name of ``names`` (name); names of one group mean the same.
 
-    ``aliases`` (name, alias) links a name with another one of its owner, if no other group of names claims that alias.
+    ``aliases`` (name, alias) links a name with another one of its owner, if no other group of names claims that alias;
+    an owner without an alias has a null one. Towns' shared words are those of the owners and aliases, or fixed ones: in
+    the rows each of a few hundred towns is so frequent that its own words, and those for its parts, would be shared.
     Edits of two letters link only a signature that has no nearer one; an initial is resolved only if all full names it
     fits are of one group. Tribute acts and events are grouped with nothing but themselves. An empty table gives no rows.
     """
-    every = names.select("name") if aliases is None else names.select("name").unionByName(aliases.select(F.col("alias").alias("name")))
+    known = None if aliases is None else aliases.select("name").unionByName(aliases.select(F.col("alias").alias("name"))).where(F.col("name").isNotNull()).distinct()
+    every = names.select("name") if known is None else names.select("name").unionByName(known)
     n = parallelism(every.sparkSession)  # names are few bytes but dear to parse: without a number they would end up in few tasks
     distinct = stored(every.where(F.col("name").isNotNull()).distinct().repartition(n))
-    named = stored(signatures(distinct, shared_words(distinct, place), place))
+    words = shared_words(distinct) if not place else sorted(PLACE_WORDS) if known is None else shared_words(stored(known), place)
+    named = stored(signatures(distinct, words, place))
     sigs = named.where("linkable").select("key", "frame", "stem", "rest", "initial", "initial_frame").distinct().repartition(n)
     cells = _cells(sigs.where(~F.col("initial")), "frame")
     left, right = cells.select("cell", F.col("frame").alias("f"), F.col("key").alias("a"), F.col("stem").alias("x")), cells.select("cell", "frame", F.col("key").alias("b"), F.col("stem").alias("y"))
@@ -184,7 +188,7 @@ def _initial_edges(sigs: DataFrame, grouped) -> DataFrame:
 
 def _alias_edges(aliases: DataFrame, named: DataFrame, grouped) -> DataFrame:
     """(a, b): groups of a name and its alias, if only one group of names claims the alias's group and the alias is no acronym."""
-    keys = grouped(named.where("linkable").select("name", "key"), "key")
+    keys = grouped(named.where(F.col("key").rlike(r"^[^!]*[^|! ]")).select("name", "key"), "key")  # none of a tribute, an event or no word
     own = aliases.where(F.length(F.regexp_replace("alias", r"[\W_]", "")) > 4)
     pairs = own.join(keys.select("name", F.col("grp").alias("a")), "name").join(keys.select(F.col("name").alias("alias"), F.col("grp").alias("b")), "alias").where("a <> b").select("a", "b").distinct()
     single = pairs.groupBy("b").agg(F.min("a").alias("a"), F.count("*").alias("n")).where("n = 1").select("a", "b")

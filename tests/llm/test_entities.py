@@ -154,6 +154,17 @@ def test_frequent_acts_keep_their_words(spark):
     assert got["R. Wolves"] == got["Robert Wolves"] and got["R."] != got["Robert"]
 
 
+def test_frequent_towns_keep_their_words(spark):
+    """Words for a part of a town are not shared ones however many towns have them, and a town's names are one without its name verbatim in the rows."""
+    towns = ["Kevaruzim", "Zosepak", "Midoral", "Gafunek", "Tobirus", "Hurabol", "Zimekad", "Lekanor", "Jopibusa"]
+    parts = ["Nord", "Centre", "City", "Mitte", "West", "Zentrum", "Metro Area", "Old Town"]
+    df = spark.createDataFrame([(n,) for n in [*(f"{t} {p}" for t in towns for p in parts), "Lege Resovune", "BAD Jopibusa, DE"]], "name string")
+    known = spark.createDataFrame([("Bad Jopibusa", "Lege Resovune"), ("Zosepak", None)], "name string, alias string")
+    got = {r.name: r.grp for r in variants.name_groups(df, place=True, aliases=known).collect()}
+    assert all(len({got[f"{t} {p}"] for p in parts}) == 1 for t in towns) and len({got[f"{t} Nord"] for t in towns}) == len(towns)
+    assert got["Lege Resovune"] == got["BAD Jopibusa, DE"] != got["Jopibusa Nord"]
+
+
 def test_same_acts_of_nothing(spark, rows):
     assert rows(variants.same_act_pairs(spark.createDataFrame([], CATALOG), spark.createDataFrame([], GAPS))) == []
 
