@@ -5,25 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.session import cut
+from eventlake.operators.places import spread_labels
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node of each node's component, for all nodes of edges (a, b).
 
-    Minimum labels spread along edges and then to the label of the label, so long chains take few rounds. Each round is
-    cut off by a checkpoint; a node's neighbours are combined on the map side, so hubs are no hot group. Edges with a null
-    end are ignored; an empty table gives no rows.
+    Edges with a null end are ignored; an empty table gives no rows.
     """
-    edges = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select("a", "b")
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("component")))
-    for _ in range(rounds):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels["node"] == near["a"]).select("node", F.least("component", "near").alias("label"), F.col("component").alias("old"))
-        up = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        step = cut(step.join(up, step["label"] == up["_n"], "left").select("node", F.least("label", F.coalesce("_c", "label")).alias("component"), "old"))
-        labels = step.select("node", "component")
-        if step.where(F.col("component") != F.col("old")).limit(1).count() == 0:
-            break
-    return labels
+    return spread_labels(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull())).withColumnRenamed("label", "component")

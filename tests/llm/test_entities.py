@@ -188,6 +188,13 @@ def test_components(spark, rows):
     assert components.components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_components_of_long_chains(spark, rows):
+    """Falling ids behind the least one: a label written only to neighbours would need as many rounds as nodes."""
+    edges = [(f"{x:03}", f"{y:03}") for x, y in itertools.pairwise([0, *range(149, 0, -1)])]
+    got = dict(rows(components.components(spark.createDataFrame(edges, "a string, b string"))))
+    assert len(got) == 150 and set(got.values()) == {"000"}
+
+
 ENTRY = "entry_id long, artist string, event_date string, venue string, city string, day string"
 LISTING = "listing_id long, artist string, date_text string, venue string, city string, act string"
 
