@@ -27,6 +27,18 @@ PLACE_WORDS = ("am", "see", "sur", "mer", "san", "saint", "bad", "new", "port",
 # Words that name a part or the surroundings of a town.
 DISTRICT = {N.skeleton(w) for w in "nord north ost east süd sud south west centro centre center city metro area old town bay downtown mitte zentrum altstadt greater district region county".split()}
 
+# Words that may stand in brackets beside an act's name, also misspelt, and words between acts of one billing.
+ADDED = [N.skeleton(w) for w in "live band official support solo acoustic dj set tour sold out postponed cancelled rescheduled verlegt new date special guest guests".split()]
+BETWEEN = {N.skeleton(w) for w in (*N.JOINS, "x", "vs", "versus", "meets", "b2b")}
+_BRACKET = re.compile(r"[\[(]([^\[\]()]*)[\])]")
+
+
+def without_additions(text: str) -> str:
+    """An act as typed without brackets all of whose words are additions, one edit off at most (words of three letters: none)."""
+    added = lambda s: any(s == a or (len(a) > 3 and N.edits(s, a, 1) <= 1) for a in ADDED)
+    cut = _BRACKET.sub(lambda m: " " if all(added(N.skeleton(w)) for w in N.split(m[1])) else m[0], text)
+    return cut if cut.strip() else text
+
 
 class Entry(NamedTuple):
     ref_id: int
@@ -70,7 +82,8 @@ class Resolver:
         return f" {' '.join(words)} ", words
 
     def mention(self, text: str) -> list[int]:
-        """Entries of the longest mention, if what is left of the value is only what may surround it."""
+        """Entries of the longest mention (of equals the first), if what is left of the value is only what may surround it: for
+        acts other acts that are mentioned by a rare word, and words between them."""
         flat, words = self.flat(text)
         if len(self.automaton) == 0:
             return []
@@ -79,13 +92,16 @@ class Resolver:
         for m in found:
             if all(m[1] - 1 <= t[0] or m[0] >= t[1] - 1 for t in taken):
                 taken.append(m)
-        if not taken or len(taken) > 1 and not self.place:
+        if not taken:
             return []
         taken.sort(key=lambda m: (m[0] - m[1], m[0]))
         left = Counter(words) - Counter(taken[0][2].split())
         if self.place:
             return taken[0][3] if not any(w in self.roles.words for w in left) else []
-        return taken[0][3] if not left else []
+        for t in taken[1:]:
+            if any(self.names[i].stems for i in t[3]):
+                left -= Counter(t[2].split())
+        return taken[0][3] if left.keys() <= (BETWEEN if len(taken) > 1 else set()) else []
 
     def similar(self, text: str, country: str | None) -> list[tuple[int, int]]:
         """(edits, entry) of the entries whose shared words agree and whose rare words are within reach."""
@@ -126,7 +142,7 @@ class Resolver:
         if self.place and N.NOWHERE.match(text) or not self.place and N._TRIBUTE.search(N.unmangle(text)):
             pass
         else:
-            core, tail = N.place_core(text) if self.place else (text, "")
+            core, tail = N.place_core(text) if self.place else (without_additions(text), "")
             code = code or code_of(tail)
             best = [(0, i) for i in self.mention(core)] or self.similar(core, code)
             if best:

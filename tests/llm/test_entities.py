@@ -92,6 +92,13 @@ def test_values_as_acts(spark):
     assert got == want
 
 
+def test_mentions_among_additions_and_other_acts(spark):
+    cases = {"Pumavor 38 (banid)": 6, "Kevaruzim Foxes (bband) [offical]": 4, "Kevaruzim Wolves x Pumavor 40": 3, "Pumavor 40 / Alexander Bofutar": 1, "Pumavor 38 and Pumavor 40": 6, "Kevaruzim Wolves (Youth)": 0, "Kevaruzim Wolves Junior": 0, "Pumavor 38 Nobody": 0, "Tribute to Pumavor 38 x Pumavor 40": 0}
+    df = spark.createDataFrame([(i, v, None) for i, v in enumerate(cases)], "row_id long, value string, country string")
+    got = {r.row_id: r.ref_id for r in canonical.resolve_values(df, reference(spark)).collect()}
+    assert {k: got[i] for i, k in enumerate(cases)} == cases
+
+
 def test_values_as_towns(spark):
     towns = [(1, "Bad Hidäsuhok", "ZA", None, 10), (2, "Bad Hidäsuhok", "GB", None, 20), (3, "San Jabümezal", "SE", ["Kovotrawen"], 5), (4, "Zofuzagur", "DE", ["Зофузагур"], 5), (5, "Japojibor-sur-Mer", "IT", [], 5)]
     ref = canonical.city_reference(spark.createDataFrame(towns, "city_id long, city string, country string, alt_names array<string>, population long"))
