@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import re
-import unicodedata
 from functools import lru_cache
 from itertools import chain
 
@@ -47,9 +46,8 @@ def _ranges(test) -> str:
 
 @lru_cache(maxsize=1)
 def _patterns():
-    """The pattern for ASCII, for the basic plane (whose classes ``re`` keeps as bitmaps) and for all of Unicode."""
-    white = regex.compile(r"\s")
-    bmp = _ranges(lambda c: unicodedata.category(c)[0] == "L"), _ranges(lambda c: unicodedata.category(c)[0] == "N"), _ranges(lambda c: bool(white.match(c)))
+    """The pattern for ASCII, for the basic plane (whose classes ``re`` keeps as bitmaps) and for all of Unicode; the classes of all three are those of ``regex``, so what else a text holds changes no word's ids."""
+    bmp = [_ranges(regex.compile(c).match) for c in (r"\p{L}", r"\p{N}", r"\s")]
     plain = lambda l, n, s: re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{l}]+| ?[{n}]+| ?[^{s}{l}{n}]+|[{s}]+(?![^{s}])|[{s}]+")  # noqa: E731,E741
     return plain("A-Za-z", "0-9", r" \t\n\v\f\r"), plain(*bmp), regex.compile(PATTERN)
 
