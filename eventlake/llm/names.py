@@ -39,7 +39,7 @@ _TAIL = re.compile(
 )
 _TRIBUTE = re.compile(r"\btribute\b|\bcovers?\b|\bcover(?:ed)? (?:night|band|show|version)|^\s*(?:the\s+)?(?:fake|almost|ultimate|counterfeit|not quite|bootleg|faux)\s+\S|\bexperience\s*(?:\(|$)|\bplays? the music of\b|\bperform(?:s|ed by)\b|\bsalute to\b|\bhommage?\b|\bhomage\b|\bimpersonator", re.I)
 _EVENT = re.compile(r"\b(?:vol|no)\.?\s*\d|#\s*\d|\s@\s|\b(?:open mic|karaoke|jam session|quiz night|silent disco|drag bingo|salsa class|film screening|record fair|vinyl market|techno brunch|kids matinee|ballroom lesson|stand-up special)\b", re.I)
-_WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*\.?|[&+]")
+WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*\.?|[&+]")
 
 
 class Name(NamedTuple):
@@ -83,29 +83,82 @@ def skeleton(word: str) -> str:
 
 
 def edits(a: str, b: str, limit: int) -> int:
-    """Edit distance with swaps of neighbours as one edit, or limit + 1 if it is more than ``limit``."""
+    """Unrestricted Damerau-Levenshtein distance (a swap of neighbours is one edit; a metric), or limit + 1 if it is more than ``limit``."""
+    if a == b:
+        return 0
     if abs(len(a) - len(b)) > limit:
         return limit + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row0 = row, [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row0[j - 1] + 1, last[j - 1] + (x != y))
-            if before and i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            row0.append(d)
-        if min(row0) > limit:
-            return limit + 1
-        before, row = last, row0
-    return min(row[-1], limit + 1)
-
-
-LONGEST = 40  # letters of a word beyond which it is no misspelt one, only the same or another
+    i, end = 0, min(len(a), len(b))
+    while i < end and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    i, end = 0, min(len(a), len(b))
+    while i < end and a[-1 - i] == b[-1 - i]:
+        i += 1
+    if i:
+        a, b = a[:-i], b[:-i]
+    if not a or not b:
+        return max(len(a), len(b))
+    n, m, far = len(a), len(b), limit + 1
+    rows = [{j: j for j in range(min(m, limit) + 1)}]  # of each row only the columns within ``limit`` of the diagonal
+    seen: dict[str, int] = {}
+    for i in range(1, n + 1):
+        row, before, met, x = {}, rows[-1], 0, a[i - 1]
+        if i <= limit:
+            row[0] = i
+        for j in range(max(1, i - limit), min(m, i + limit) + 1):
+            y = b[j - 1]
+            d = min(before.get(j, far) + 1, row.get(j - 1, far) + 1, before.get(j - 1, far) + (x != y))
+            up = seen.get(y, 0)
+            if up and met:
+                d = min(d, rows[up - 1].get(met - 1, far) + (i - up - 1) + 1 + (j - met - 1))
+            if x == y:
+                met = j
+            row[j] = d
+        seen[x] = i
+        rows.append(row)
+    return min(rows[-1].get(m, far), far)
 
 
 def reach(n: int) -> int:
     """Edits within which two stems of about n letters are taken as one."""
-    return 0 if n <= 3 or n > LONGEST else 1 if n <= 5 else 2
+    return 0 if n <= 3 else 1 if n <= 5 else 2
+
+
+PIVOTS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def cells(stem: str, r: int) -> dict[str, str]:
+    """The cells of a stem under pivots and, of each, the letters in which it is farther than the stem; any two stems at most r edits apart share a cell.
+
+    A pivot is one letter repeated more often than any stem is long, or a class of six of the characters beyond a to z. The
+    distance to it is its length less how often the stem has that letter, so no distance need be computed. A stem's own cell is
+    its distances to all pivots, written as the letters it has, sorted. By the triangle inequality stems at most r apart differ
+    by at most r from pivot to pivot; as the same holds of the pivots that mix several letters, the sum of what one stem is
+    farther from the pivots than the other is at most r, in either direction. Both are therefore replicated to the cells at most
+    r farther from the pivots, and meet in that of the greater distances. A stem has at most 561 cells for r = 2, however long.
+    """
+    s = "".join(sorted(c if c in PIVOTS else chr(48 + ord(c) % 6) for c in stem))
+    out = last = {s: ""}
+    for _ in range(r):
+        last = {t[:i] + t[i + 1 :]: g + c for t, g in last.items() for i, c in enumerate(t) if not i or c != t[i - 1]}
+        out = out | last
+    return out
+
+
+class Near:
+    """Words within an edit distance of a word, by pivots."""
+
+    def __init__(self, words, r: int = 2):
+        self.at: dict[str, list[str]] = {}
+        for w in sorted(set(words)):
+            for c in cells(w, r):
+                self.at.setdefault(c, []).append(w)
+
+    def of(self, word: str, limit: int) -> list[tuple[int, str]]:
+        """(edits, word) of the words at most ``limit`` (and at most the index's r) away, in order."""
+        met = {w for c in cells(word, limit) for w in self.at.get(c, ())}
+        return sorted((d, w) for w in met if (d := edits(word, w, limit)) <= limit)
 
 
 def _uncased(word: str) -> str:
@@ -124,9 +177,8 @@ class Roles:
         self.words.pop("te", None)
         self.short = {k: v for k, v in SHORT.items() if skeleton(v) in self.words}
         self.nick = {skeleton(n): f for f, ns in NICKNAMES.items() if skeleton(f) in self.words for n in ns.split()}
-        self.by_length: dict[int, list[str]] = {}
-        for s in self.words:
-            self.by_length.setdefault(len(s), []).append(s)
+        self.near, self.typed, self.nicknames = Near(w for w in self.words if len(w) > 3), Near(w for w in self.words.values() if len(w) > 4), Near((n for n in self.nick if len(n) >= 4), 1)
+        self.ends = sorted((x for x in self.words if len(x) >= 5), key=lambda x: (len(x), x))
         self.known: dict[str, str | None] = {}
 
     def role(self, word: str) -> str | None:
@@ -137,25 +189,29 @@ class Roles:
         s = skeleton(word)
         found = self.short.get(key) or self.nick.get(s) or self.words.get(s)
         if not found and len(s) >= 4:
-            limit = 1 if len(s) <= 6 else 2
-            near = [(d, w) for n in range(len(s) - limit, len(s) + limit + 1) for w in self.by_length.get(n, ()) if len(w) > 3 and (d := edits(s, w, own := limit if len(w) >= 6 else 1)) <= own]
-            found = self.words[min(near)[1]] if near else None
+            near = [(d, w) for d, w in self.near.of(s, 1 if len(s) <= 6 else 2) if d <= 1 or len(w) >= 6]
+            found = self.words[near[0][1]] if near else None
             if not found:
                 typed = latin(word.rstrip("."))
-                near = sorted((d, w) for w in self.words.values() if len(w) > 4 and (d := edits(typed, w, own := 1 if len(typed) <= 6 else 2)) <= own)
+                near = self.typed.of(typed, 1 if len(typed) <= 6 else 2)
                 found = near[0][1] if near else None
             if not found and len(s) <= 8:
-                near = sorted(n for n in self.nick if len(n) >= 4 and edits(s, n, 1) <= 1)
-                found = self.nick[near[0]] if near else None
+                near = self.nicknames.of(s, 1)
+                found = self.nick[min(w for _, w in near)] if near else None
         if len(self.known) > 500_000:
             self.known.clear()
         self.known[word] = found
         return found
 
 
+def normal(text: str) -> str:
+    """A text with its damage repaired, in compatibility form, underlines as blanks."""
+    return unicodedata.normalize("NFKC", unmangle(text)).replace("_", " ").replace("‐", "-").strip()
+
+
 def stripped(text: str) -> str:
     """A name without its decorations and additions."""
-    text = unicodedata.normalize("NFKC", unmangle(text)).replace("_", " ").replace("‐", "-").strip()
+    text = normal(text)
     while True:
         cut = _LEAD.sub("", text)
         cut = _TAIL.sub("", cut).strip()
@@ -177,17 +233,17 @@ NOWHERE = re.compile(r"^\s*(?:online|virtual|live ?stream|secret location|tba|tb
 def split(text: str) -> list[str]:
     """The words of a stripped name; words run together are parted at a capital, short ones of typing mistakes are not."""
     out = []
-    for w in _WORD.findall(text):
+    for w in WORD.findall(text):
         w = _uncased(w)
         at = [i for i in range(4, len(w) - 1) if w[i].isupper() and w[i - 1].islower()]
         out += [w[: at[0]], w[at[0] :]] if len(at) == 1 else [w]
     return out
 
 
-def parse(text: str, roles: Roles, place: bool = False) -> Name:
-    """The signature of a name."""
+def parse(text: str, roles: Roles, place: bool = False, strip: bool = True) -> Name:
+    """The signature of a name, without its decorations or (not ``strip``) with all of its words."""
     tribute = bool(not place and _TRIBUTE.search(unmangle(text)))
-    text = stripped(text)
+    text = stripped(text) if strip else normal(text)
     if re.search(r"[\w]\s*-\s*\w", text):
         text = re.sub(r"(?<=\w)\s*-\s*(?=\w)", " ", text)
     words = split(text)
@@ -214,7 +270,7 @@ def parse(text: str, roles: Roles, place: bool = False) -> Name:
             continue
         r = roles.role(w)
         if r is None and len(s) >= 9:  # words run together without a capital
-            r2 = next((x for x in roles.words if len(x) >= 5 and s.endswith(x) and len(s) - len(x) >= 4), None)
+            r2 = next((x for x in roles.ends if s.endswith(x) and len(s) - len(x) >= 4), None)
             if r2:
                 found.add(roles.words[r2])
                 stems.append(s[: -len(r2)])

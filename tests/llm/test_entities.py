@@ -115,20 +115,47 @@ def test_values_without_a_reference(spark):
     assert canonical.resolve_values(df.limit(0), reference(spark)).collect() == []
 
 
-def test_edits():
-    rng = random.Random(9)
+def distance(a, b):
+    """Unrestricted Damerau-Levenshtein distance, by its definition."""
+    far, last, d = len(a) + len(b), {}, {(-1, -1): len(a) + len(b)}
+    for i in range(len(a) + 1):
+        d[i, -1], d[i, 0] = far, i
+    for j in range(len(b) + 1):
+        d[-1, j], d[0, j] = far, j
+    for i in range(1, len(a) + 1):
+        met = 0
+        for j in range(1, len(b) + 1):
+            k, m, cost = last.get(b[j - 1], 0), met, 1
+            if a[i - 1] == b[j - 1]:
+                cost, met = 0, j
+            d[i, j] = min(d[i - 1, j - 1] + cost, d[i, j - 1] + 1, d[i - 1, j] + 1, d[k - 1, m - 1] + (i - k - 1) + 1 + (j - m - 1))
+        last[a[i - 1]] = i
+    return d[len(a), len(b)]
 
-    def full(a, b):
-        d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
-        for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
-            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
-            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
-        return d[-1][-1]
 
-    for _ in range(2000):
-        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 7))) for _ in range(2))
-        assert names.edits(a, b, 2) == min(full(a, b), 3)
+def test_edits():
+    rng = random.Random(9)
+    for _ in range(3000):
+        a, b, c = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 7))) for _ in range(3))
+        assert names.edits(a, b, 2) == min(distance(a, b), 3)
+        assert distance(a, c) <= distance(a, b) + distance(b, c)
+    assert names.edits("ca", "abc", 2) == 2  # a metric: one swap, one insertion
+    assert names.edits("x" * 3000 + "ab", "x" * 1500 + "y" + "x" * 1500 + "ba", 2) == 2
+
+
+def test_pivots():
+    """The distance to a pivot is its length less how often the stem has its letter, and names within the radius meet in exactly one cell that is beyond both in no common letter."""
+    rng = random.Random(11)
+    for _ in range(300):
+        x = "".join(rng.choice("abcdz") for _ in range(rng.randint(1, 7)))
+        assert all(distance(x, c * 9) == 9 - x.count(c) for c in "abz")
+        assert distance(x, "ab" * 9) == 18 - sum(x.count(c) for c in "ab")
+        y = "".join(rng.choice("abcdz") for _ in range(rng.randint(1, 7)))
+        a, b = names.cells(x, 2), names.cells(y, 2)
+        meet = [c for c in a.keys() & b.keys() if not set(a[c]) & set(b[c])]
+        assert len(meet) <= 1 and (distance(x, y) > 2 or len(meet) == 1)
+    long = names.cells("".join(chr(0x4E00 + i) for i in range(3000)) + "abcdefghijklmnopqrstuvwxyz" * 3, 2)
+    assert len(long) <= 561
 
 
 CATALOG = "artist_id long, slug string, artist_name string, aliases array<string>, grp string"
@@ -177,15 +204,14 @@ def test_same_acts_of_nothing(spark, rows):
 
 
 def test_cells_lose_no_pair(spark):
-    """Every pair of stems that counts as one is found by the cells, against brute force."""
+    """Every pair of stems within reach is found by the cells, once, against brute force."""
     rng = random.Random(10)
-    stems = {"".join(rng.choice("abkrz") for _ in range(rng.randint(4, 8))) for _ in range(150)}
-    df = spark.createDataFrame([(f"{s} | | | ", s, "f", "", False) for s in stems], "key string, stem string, frame string, rest string, initial boolean")
+    stems = sorted({"".join(rng.choice("abkrz") for _ in range(rng.randint(3, 8))) for _ in range(150)} | {"q" * 50 + "ab", "q" * 51 + "a", "q" * 50 + "cd"})
+    df = spark.createDataFrame([(s, s, "f", "", False) for s in stems], "key string, stem string, frame string, rest string, initial boolean")
     cells = variants._cells(df, "frame")
-    pairs = cells.select("cell", F.col("key").alias("a"), F.col("stem").alias("x")).join(cells.select("cell", F.col("key").alias("b"), F.col("stem").alias("y")), "cell").where("a < b")
-    got = {(r.a[:-6].strip(" |"), r.b[:-6].strip(" |")) for r in variants._near(pairs).collect()}
-    want = {(x, y) for x, y in itertools.combinations(sorted(stems), 2) if (d := names.edits(x, y, 2)) <= min(names.reach(len(x)), names.reach(len(y))) and variants._linked(d, x, y)}
-    assert want and want <= {tuple(sorted(p)) for p in got}
+    got = [(r.a, r.b) for r in variants.within(variants._meetings(cells, cells).where("a < b")).collect()]
+    want = {(x, y) for x, y in itertools.combinations(stems, 2) if distance(x, y) <= names.reach(max(len(x), len(y)))}
+    assert want and len(got) == len(set(got)) and set(got) == want
 
 
 def test_components(spark, rows):
