@@ -1,10 +1,11 @@
 """Performances matched across tables without a common key (problem 5) by a cascade of exact joins.
 
 Each attribute first gets a key under which its spellings are equal: acts and towns by :func:`variants.name_groups`,
-dates by a parser, venues by their sorted skeletons. Rules then join on ever weaker combinations of the keys; a rule
-that relaxes the date takes only listings that no earlier rule has resolved, lest the second of two nights be taken for
-the first. A pair's confidence is its first rule's precision, measured on labelled pairs if there are any, else on the
-attribute the rule does not use.
+dates by a parser, venues by their sorted skeletons. Rules then join on ever weaker combinations of the keys. Each pass
+anti-joins what earlier ones have resolved: a pair is looked for only if one of its two rows is still open (a row without a
+town stays open for the rules for such rows), and a rule that relaxes the date takes only open listings, lest the second of
+two nights be taken for the first. A pair's confidence is its first rule's precision on labelled pairs: those given, else
+those whose listing has coordinates, which no rule uses, and whose entry's town has them too, else by the attribute left over.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import names as N
 from eventlake.llm.variants import name_groups
-from eventlake.session import cut, stored
+from eventlake.operators.places import haversine
+from eventlake.session import broadcast_if_small, cut, stored
 
 # Month names in English, German, Spanish and French by their first three letters.
 MONTHS = {"jan": 1, "ene": 1, "feb": 2, "fév": 2, "fev": 2, "mar": 3, "mär": 3, "mrz": 3, "apr": 4, "abr": 4, "avr": 4, "may": 5, "mai": 5, "jun": 6, "jul": 7, "aug": 8, "ago": 8, "aoû": 8, "sep": 9, "oct": 10, "okt": 10, "nov": 11, "dec": 12, "dez": 12, "dic": 12, "déc": 12}
@@ -26,12 +28,14 @@ RULES = (
     ("act town date venue", ("act", "town", "venue"), 0),
     ("act town date", ("act", "town"), 0),
     ("act date venue", ("act", "venue"), 0),
-    ("act date, town missing", ("act",), 0),
+    ("act date, town missing", ("act",), 0),  # in one of the two rows
     ("act town venue, day off", ("act", "town", "venue"), 1),
     ("act town, day off", ("act", "town"), 1),
     ("act venue, day off, town missing", ("act", "venue"), 1),
 )
 
+NEAR_KM = 35.0  # a listing's coordinates farther from a town than this are not of the town
+
 
 def listed_date(c: Column) -> Column:
     """The day a listing states in words or numbers (day-first); null if it states none that exists."""
@@ -65,19 +69,24 @@ def _venue_keys(venues: DataFrame) -> DataFrame:
     return venues.where(F.col("venue").isNotNull()).select("venue").distinct().mapInArrow(f, "venue string, venue_key string")
 
 
-def keyed(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both tables as (id, act, town, day, venue); rows without an act or a day are left out."""
-    both = entries.select(F.lit(True).alias("entry"), F.col("entry_id").alias("id"), "artist", listed_date(F.col("event_date")).alias("day"), "venue", "city").unionByName(
-        listings.select(F.lit(False).alias("entry"), F.col("listing_id").alias("id"), "artist", listed_date(F.col("date_text")).alias("day"), "venue", "city")
+def keyed(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Both tables as (id, act, town, day, venue, lat, lng), rows without an act or a day left out, and the towns' places (town, spots)."""
+    at = [F.col(c).cast("double").alias(c) if c in listings.columns else F.lit(None).cast("double").alias(c) for c in ("lat", "lng")]
+    nowhere = [F.lit(None).cast("double").alias(c) for c in ("lat", "lng")]
+    both = entries.select(F.lit(True).alias("entry"), F.col("entry_id").alias("id"), "artist", listed_date(F.col("event_date")).alias("day"), "venue", "city", *nowhere).unionByName(
+        listings.select(F.lit(False).alias("entry"), F.col("listing_id").alias("id"), "artist", listed_date(F.col("date_text")).alias("day"), "venue", "city", *at)
     )
     rows = stored(both.where(F.col("id").isNotNull() & F.col("artist").isNotNull() & F.col("day").isNotNull()))
     acts = stored(name_groups(rows.select(F.col("artist").alias("name"))).select(F.col("name").alias("artist"), F.col("grp").alias("act")))
     known = cities.select(F.col("city").alias("name"), F.explode_outer("alt_names").alias("alias")).where(F.col("name").isNotNull()) if cities is not None else None
     towns = name_groups(rows.select(F.col("city").alias("name")).where(F.col("name").isNotNull()), place=True, aliases=known)
     towns = stored(towns.where(~F.col("grp").startswith("!")).select(F.col("name").alias("city"), F.col("grp").alias("town")))
-    out = rows.join(acts, "artist").join(towns, "city", "left").join(_venue_keys(rows), "venue", "left").select("entry", "id", "act", "town", "day", F.col("venue_key").alias("venue"))
+    out = rows.join(acts, "artist").join(towns, "city", "left").join(_venue_keys(rows), "venue", "left").select("entry", "id", "act", "town", "day", F.col("venue_key").alias("venue"), "lat", "lng")
     out = stored(out)
-    return out.where("entry").drop("entry"), out.where("not entry").drop("entry")
+    spots = None
+    if cities is not None and {"lat", "lng"} <= set(cities.columns):
+        spots = cities.where("lat IS NOT NULL AND lng IS NOT NULL").join(towns, "city").groupBy("town").agg(F.collect_set(F.struct("lat", "lng")).alias("spots"))
+    return out.where("entry").drop("entry", "lat", "lng"), out.where("not entry").drop("entry"), spots
 
 
 def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> DataFrame:  # noqa: E741
@@ -86,42 +95,54 @@ def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> Data
     left = e.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("_s", F.explode(shifts)).withColumn("day", F.date_add("day", F.col("_s"))).drop("_s")
     right = l.select(*[F.col(c).alias(f"r_{c}") for c in l.columns])
     on = [left[k] == right[f"r_{k}"] for k in (*keys, "day")]
-    return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "town", "r_town", "venue", "r_venue")
+    return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "town", "r_town", "venue", "r_venue", F.col("r_lat").alias("lat"), F.col("r_lng").alias("lng"))
 
 
-def cascade(entries: DataFrame, listings: DataFrame) -> DataFrame:
-    """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is the proxy label, null where it cannot be told."""
-    found = None
+def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = None) -> DataFrame:
+    """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is a label from elsewhere, null where it cannot be told."""
+    if "lat" not in listings.columns:
+        listings = listings.withColumns({c: F.lit(None).cast("double") for c in ("lat", "lng")})
+    done: DataFrame | None = None
+    if spots is not None:
+        spots = broadcast_if_small(spots)
     for no, (name, keys, off) in enumerate(RULES, 1):
-        if off:
-            found = cut(found)
-            rest = listings.join(found.select(F.col("listing_id").alias("id")).distinct(), "id", "left_anti")
-            pairs = _joined(entries, rest, keys, off)
-        else:
-            pairs = _joined(entries, listings, keys, off)
-        missing = F.col("town").isNull() | F.col("r_town").isNull()
+        open_l = open_e = closed_e = None
+        if done is not None:
+            open_l = listings.join(done.select(F.col("listing_id").alias("id")).distinct(), "id", "left_anti")
+            resolved = done.select(F.col("entry_id").alias("id")).distinct()
+            open_e, closed_e = entries.join(resolved, "id", "left_anti"), entries.join(resolved, "id", "left_semi")
         if "missing" in name:
-            pairs = pairs.where(missing)
-        if "town" not in keys:
-            agrees = F.col("town") == F.col("r_town")
+            some = open_l if off else listings
+            pairs = _joined(entries.where("town IS NULL"), some, keys, off).unionByName(_joined(entries.where("town IS NOT NULL"), some.where("town IS NULL"), keys, off))
+        elif off:
+            pairs = _joined(entries, open_l, keys, off)
+        elif done is None:
+            pairs = _joined(entries, listings, keys, off)
         else:
-            agrees = F.levenshtein("venue", "r_venue", 3) >= 0
-        pairs = pairs.select("entry_id", "listing_id", F.lit(no).alias("rule_no"), agrees.alias("agrees"))
-        found = pairs if found is None else found.unionByName(pairs)
+            pairs = _joined(open_e, listings, keys, off).unionByName(_joined(closed_e, open_l, keys, off))
+        left_over = F.levenshtein("venue", "r_venue", 3) >= 0 if "town" in keys else F.lit(None).cast("boolean")
+        agrees = left_over
+        if spots is not None:
+            pairs = pairs.join(spots.withColumnRenamed("town", "_town"), F.col("town") == F.col("_town"), "left")
+            near = F.exists("spots", lambda p: haversine(p["lat"], p["lng"], F.col("lat"), F.col("lng")) <= NEAR_KM)
+            agrees = F.coalesce(F.when(F.col("lat").isNotNull() & F.col("lng").isNotNull(), near), left_over)
+        pairs = cut(pairs.select("entry_id", "listing_id", F.lit(no).alias("rule_no"), agrees.alias("agrees")))
+        done = pairs if done is None else done.unionByName(pairs)
     first = F.min_by(F.col("agrees"), F.col("rule_no"))
-    return found.groupBy("entry_id", "listing_id").agg(F.min("rule_no").alias("rule_no"), first.alias("agrees"))
+    return done.groupBy("entry_id", "listing_id").agg(F.min("rule_no").alias("rule_no"), first.alias("agrees"))
 
 
 def matches(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """(entry_id, listing_id, rule_no, confidence) of every pair that some rule joins.
 
-    Confidence is (good + 1) / (told + 2) over the rule's pairs: good ones of those labelled in ``labels`` (entry_id,
-    listing_id, same), else those that agree in the attribute not used (the venue, or the town) of those that have it on
-    both sides. Rows with a null id, act or date are in no pair; a null town or venue equals nothing; towns given as
-    "online" and the like count as missing. Repeated rows come once. Empty tables give no rows.
+    Confidence is (good + 1) / (told + 2) over the rule's labelled pairs: those of ``labels`` (entry_id, listing_id, same) if
+    given, else pairs whose listing has coordinates (``lat``, ``lng``) and whose entry's town has them in ``cities``, good if
+    they are at most NEAR_KM apart; else, for rules that join on the town, pairs with a venue on both sides, good if those agree.
+    Rows with a null id, act or date are in no pair; a null town or venue equals nothing; towns given as "online" and the like
+    count as missing. Repeated rows come once. Empty tables give no rows.
     """
-    e, l = keyed(entries, listings, cities)  # noqa: E741
-    return with_confidence(cut(cascade(e.distinct(), l.distinct())), labels)
+    e, l, spots = keyed(entries, listings, cities)  # noqa: E741
+    return with_confidence(cut(cascade(e.distinct(), l.distinct(), spots)), labels)
 
 
 def with_confidence(pairs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
