@@ -147,7 +147,8 @@ LIKELY = "d <= 1 OR (substr(x, 1, 1) = substr(y, 1, 1) AND substr(x, -1, 1) = su
 
 
 def name_groups(names: DataFrame, place: bool = False, aliases: DataFrame | None = None) -> DataFrame:
-    """(name, grp): the group of each distinct non-null name of ``names`` (name); names of one group mean the same.
+    """(name, grp, stem): the group of each distinct non-null name of ``names`` (name); names of one group mean the same. stem is
+    the name's longest rare word, empty for tribute acts and events.
 
     ``aliases`` (name, alias) links a name with another one of its owner, if no other group of names claims that alias;
     an owner without an alias has a null one. Towns' shared words are those of the owners and aliases, or fixed ones: in
@@ -173,8 +174,8 @@ def name_groups(names: DataFrame, place: bool = False, aliases: DataFrame | None
     if aliases is not None:
         extra = extra.unionByName(_alias_edges(aliases, named, grouped))
     merged = components(extra)
-    out = grouped(named.select("name", "key"), "key").join(merged, F.col("grp") == merged["node"], "left")
-    return out.select("name", F.coalesce("component", "grp").alias("grp"))
+    out = grouped(named.select("name", "key", "stem"), "key").join(merged, F.col("grp") == merged["node"], "left")
+    return out.select("name", F.coalesce("component", "grp").alias("grp"), "stem")
 
 
 def _initial_edges(sigs: DataFrame, grouped) -> DataFrame:
