@@ -32,7 +32,7 @@ RULES = (
     ("act town venue, day off", ("act", "town", "venue"), 1),
     ("act town, day off", ("act", "town"), 1),
     ("act venue, day off, town missing", ("act", "venue"), 1),
-    ("town date venue, act alike", ("town", "venue"), 0),  # the acts' rare words within reach, whatever their shared words
+    ("town date venue, act alike", ("town", "venue"), 0),  # the acts' rare words within reach, and the other words and numbers of one among the other's
 )
 
 NEAR_KM = 35.0  # a listing's coordinates farther from a town than this are not of the town
@@ -71,18 +71,18 @@ def _venue_keys(venues: DataFrame) -> DataFrame:
 
 
 def keyed(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Both tables as (id, act, stem, town, day, venue, lat, lng), rows without an act or a day left out, and the towns' places (town, spots)."""
+    """Both tables as (id, act, stem, others, town, day, venue, lat, lng), rows without an act or a day left out, and the towns' places (town, spots)."""
     at = [F.col(c).cast("double").alias(c) if c in listings.columns else F.lit(None).cast("double").alias(c) for c in ("lat", "lng")]
     nowhere = [F.lit(None).cast("double").alias(c) for c in ("lat", "lng")]
     both = entries.select(F.lit(True).alias("entry"), F.col("entry_id").alias("id"), "artist", listed_date(F.col("event_date")).alias("day"), "venue", "city", *nowhere).unionByName(
         listings.select(F.lit(False).alias("entry"), F.col("listing_id").alias("id"), "artist", listed_date(F.col("date_text")).alias("day"), "venue", "city", *at)
     )
     rows = stored(both.where(F.col("id").isNotNull() & F.col("artist").isNotNull() & F.col("day").isNotNull()))
-    acts = stored(name_groups(rows.select(F.col("artist").alias("name"))).select(F.col("name").alias("artist"), F.col("grp").alias("act"), "stem"))
+    acts = stored(name_groups(rows.select(F.col("artist").alias("name"))).select(F.col("name").alias("artist"), F.col("grp").alias("act"), "stem", "others"))
     known = cities.select(F.col("city").alias("name"), F.explode_outer("alt_names").alias("alias")).where(F.col("name").isNotNull()) if cities is not None else None
     towns = name_groups(rows.select(F.col("city").alias("name")).where(F.col("name").isNotNull()), place=True, aliases=known)
     towns = stored(towns.where(~F.col("grp").startswith("!")).select(F.col("name").alias("city"), F.col("grp").alias("town")))
-    out = rows.join(acts, "artist").join(towns, "city", "left").join(_venue_keys(rows), "venue", "left").select("entry", "id", "act", "stem", "town", "day", F.col("venue_key").alias("venue"), "lat", "lng")
+    out = rows.join(acts, "artist").join(towns, "city", "left").join(_venue_keys(rows), "venue", "left").select("entry", "id", "act", "stem", "others", "town", "day", F.col("venue_key").alias("venue"), "lat", "lng")
     out = stored(out)
     spots = None
     if cities is not None and {"lat", "lng"} <= set(cities.columns):
@@ -96,7 +96,7 @@ def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> Data
     left = e.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("_s", F.explode(shifts)).withColumn("day", F.date_add("day", F.col("_s"))).drop("_s")
     right = l.select(*[F.col(c).alias(f"r_{c}") for c in l.columns])
     on = [left[k] == right[f"r_{k}"] for k in (*keys, "day")]
-    return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "venue", "r_venue", "town", "stem", "r_stem", F.col("r_lat").alias("lat"), F.col("r_lng").alias("lng"))
+    return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "venue", "r_venue", "town", "stem", "r_stem", "others", "r_others", F.col("r_lat").alias("lat"), F.col("r_lng").alias("lng"))
 
 
 def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = None) -> DataFrame:
@@ -123,7 +123,9 @@ def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = N
         else:
             pairs = _joined(open_e, listings, keys, off).unionByName(_joined(closed_e, open_l, keys, off))
         if "alike" in name:
-            pairs = pairs.where("length(stem) > 5 AND length(r_stem) > 5 AND levenshtein(stem, r_stem, 2) >= 0")
+            lacks = "size(array_except(split({}, ' '), split({}, ' '))) = 0"
+            among = [f"others = '' OR r_others = '' OR {lacks.format(*p)}" for p in (("others", "r_others"), ("r_others", "others"))]
+            pairs = pairs.where("length(stem) > 5 AND length(r_stem) > 5 AND levenshtein(stem, r_stem, 2) >= 0").where(" OR ".join(among))
         left_over = F.levenshtein("venue", "r_venue", 3) >= 0 if "town" in keys else F.lit(None).cast("boolean")
         agrees = left_over
         if spots is not None:

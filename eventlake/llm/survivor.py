@@ -1,11 +1,14 @@
 """One surviving record per group of duplicate answers (problem 4), on a latent two-sided quality model of the sources.
 
 A claim is a valid value of a field of an entity; each source that spoke about the field either asserts the claim or
-withholds it. Expectation-maximisation infers every claim's probability of being true together with each source's
-sensitivity (share of true values it asserts) and specificity (share of false values it withholds), so that a field may
-keep several true values. Claims with the same asserting and silent sources are one row with a count in that loop, and
-only one row a source comes back to the driver from a round. A survivor takes, field by field, the value of the most
-trusted source, then the latest, then the most probable.
+withholds it. Expectation-maximisation infers each source's sensitivity (share of true values it asserts) and specificity
+(share of false values it withholds), and with them every claim's log-odds of being true, so that a field may keep several
+true values. Claims with the same asserting and silent sources are one row with a count in that loop, and only one row a
+source comes back to the driver from a round.
+
+A survivor takes, field by field, the value with the greatest log-odds, stated trust entering as the prior: a source asserts
+what it said last, and each step of the best asserting source's trust adds ``trust_weight`` to the odds. By default that is
+more than all sources' evidence together, so that trust is never outvoted and evidence decides between sources of one rank.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,35 +74,49 @@ def lookup_claims(lookups: DataFrame) -> DataFrame:
     return rows.where(F.col("entity").isNotNull() & F.col("p.value").isNotNull()).select("entity", "p.field", "p.value", "source", "at")
 
 
-def _known(model: dict[str, tuple[float, float]], which: int, complement: bool) -> Column:
-    logs = {s: math.log(min(max(1 - p[which] if complement else p[which], FLOOR), 1 - FLOOR)) for s, p in model.items()}
-    return F.create_map(*[F.lit(x) for kv in logs.items() for x in kv])
+LIMIT = math.log((1 - FLOOR) / FLOOR)  # a source's greatest evidence
 
 
-def probability(model: dict[str, tuple[float, float]], prior: float) -> Column:
-    """Of a claim with arrays ``asserts`` and ``silent`` of sources, that it is true."""
-    if not model:
-        return F.lit(prior)
-    total = lambda arr, m, start: F.aggregate(arr, F.lit(start), lambda acc, s: acc + F.coalesce(F.try_element_at(m, s), F.lit(0.0)))
-    yes = total("asserts", _known(model, 0, False), math.log(prior)) + total("silent", _known(model, 0, True), 0.0)
-    no = total("asserts", _known(model, 1, True), math.log(1 - prior)) + total("silent", _known(model, 1, False), 0.0)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(F.least(no - yes, F.lit(700.0))))
+def _said(rows: pa.Table | pa.RecordBatch, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, source, whether it asserts) of all sources that spoke about the rows' claims; sources the model lacks are left out."""
+    parts = []
+    for column, said in (("asserts", True), ("silent", False)):
+        c = rows.column(column)
+        c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+        c = c if isinstance(c, pa.Array) else pa.concat_arrays(c)
+        at, which = pc.list_parent_indices(c).to_numpy(zero_copy_only=False), np.array([index.get(s, -1) for s in pc.list_flatten(c).to_pylist()], dtype=np.int64)
+        parts.append((at[which >= 0].astype(np.int64), which[which >= 0], np.full((which >= 0).sum(), said)))
+    return tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
+
+
+def _evidence(n: int, at: np.ndarray, which: np.ndarray, said: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Each row's log-likelihood ratio of true to false, without the prior."""
+    m = np.clip(model, FLOOR, 1 - FLOOR)
+    yes, no = np.log(m[:, 0] / (1 - m[:, 1])), np.log((1 - m[:, 0]) / m[:, 1])
+    return np.bincount(at, np.where(said, yes[which], no[which]), n) if len(at) else np.zeros(n)
+
+
+def scored(facts: DataFrame, model: dict[str, tuple[float, float]], prior: float) -> DataFrame:
+    """``facts`` with the log-odds ``odds`` of each claim and its probability ``p_true``."""
+    shared = facts.sparkSession.sparkContext.broadcast(model)  # one row a source and field
+
+    def f(batches):
+        index, table = {s: i for i, s in enumerate(shared.value)}, np.array(list(shared.value.values()), dtype=float).reshape(-1, 2)
+        base = math.log(prior / (1 - prior))
+        for b in batches:
+            odds = base + _evidence(b.num_rows, *_said(b, index), table)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(odds), pa.array(1 / (1 + np.exp(-np.clip(odds, -700, 700))))], names=[*b.schema.names, "odds", "p_true"])
+
+    return facts.mapInArrow(f, T.StructType([*facts.schema.fields, T.StructField("odds", T.DoubleType()), T.StructField("p_true", T.DoubleType())]))
 
 
 def _round(rows: pa.Table | pa.RecordBatch, names: list[str], model: np.ndarray, prior: float) -> np.ndarray:
     """One E-step over patterns and its sums for the M-step: a row a source of (true, true asserted, false, false withheld), and one of (true, all)."""
-    index = {s: i for i, s in enumerate(names)}
-    n = rows.column("count").to_numpy().astype(float)
-    seen, said = np.zeros((len(n), len(names))), np.zeros((len(n), len(names)))
-    for i, (a, q) in enumerate(zip(rows.column("asserts").to_pylist(), rows.column("silent").to_pylist())):
-        at, no = [index[s] for s in a], [index[s] for s in q]
-        seen[i, at], seen[i, no], said[i, at] = 1, 1, 1
-    m = np.clip(model, FLOOR, 1 - FLOOR)
-    yes = np.log(prior) + said @ np.log(m[:, 0]) + (seen - said) @ np.log(1 - m[:, 0])
-    no = np.log(1 - prior) + said @ np.log(1 - m[:, 1]) + (seen - said) @ np.log(m[:, 1])
-    p = 1 / (1 + np.exp(np.minimum(no - yes, 700)))
+    n, k = rows.column("count").to_numpy().astype(float), len(names)
+    at, which, said = _said(rows, {s: i for i, s in enumerate(names)})
+    p = 1 / (1 + np.exp(-np.clip(math.log(prior / (1 - prior)) + _evidence(len(n), at, which, said, model), -700, 700)))
     t, f = n * p, n * (1 - p)
-    sums = np.stack([t @ seen, t @ said, f @ seen, f @ (seen - said)], axis=1)
+    sums = np.stack([np.bincount(which, t[at], k), np.bincount(which, t[at] * said, k), np.bincount(which, f[at], k), np.bincount(which, f[at] * ~said, k)], axis=1)
     return np.vstack([sums, [t.sum(), n.sum(), 0, 0]])
 
 
@@ -106,6 +124,7 @@ def source_quality(facts: DataFrame, rounds: int = 50, tolerance: float = 1e-4,
     """Sensitivity and specificity of every source (named ``field:source``) and the share of true claims.
 
     Up to ``held`` patterns, which is counted first, one process goes over them; beyond, each round is a pass of the executors.
+    Both take all patterns and give the same.
     """
     patterns = stored(facts.groupBy("asserts", "silent").count())
     names = sorted(r[0] for r in patterns.select(F.explode(F.concat("asserts", "silent")).alias("s")).distinct().collect())  # one row a source and field
@@ -133,30 +152,36 @@ def source_quality(facts: DataFrame, rounds: int = 50, tolerance: float = 1e-4,
     return {s: (float(a), float(b)) for s, (a, b) in zip(names, model)}, prior
 
 
-def facts_of(claims: DataFrame, trust: DataFrame) -> DataFrame:
-    """One row per (entity, field, value): asserting and silent sources, and its best (trust, source, at)."""
-    ranks = trust.groupBy(F.col("provider").alias("_p")).agg(F.max("trust").alias("trust"))
-    ranked = claims.join(broadcast_if_small(ranks), F.col("source") == F.col("_p"), "left").withColumn("trust", F.coalesce("trust", F.lit(-1)))
+def facts_of(claims: DataFrame, trust: DataFrame, last_only: bool = False) -> DataFrame:
+    """One row per (entity, field, value): asserting and silent sources and its best source's trust; with ``last_only`` a source asserts only what it said last."""
     name = F.concat_ws(":", "field", "source")
-    facts = ranked.groupBy("entity", "field", "value").agg(F.sort_array(F.collect_set(name)).alias("asserts"), F.max(F.struct("trust", "source", "at")).alias("best"))
     spoke = claims.groupBy("entity", "field").agg(F.collect_set(name).alias("spoke"))  # at most one name a source
+    if last_only:
+        last = claims.groupBy("entity", "field", "source").agg(F.max("at").alias("last"))
+        claims = claims.join(last, ["entity", "field", "source"]).where(F.col("at").eqNullSafe(F.col("last"))).drop("last")
+    ranks = trust.groupBy(F.col("provider").alias("_p")).agg(F.max("trust").alias("trust"))
+    ranked = claims.join(broadcast_if_small(ranks), F.col("source") == F.col("_p"), "left").withColumn("trust", F.coalesce("trust", F.lit(-1)))
+    facts = ranked.groupBy("entity", "field", "value").agg(F.sort_array(F.collect_set(name)).alias("asserts"), F.max("trust").alias("trust"))
     return facts.join(spoke, ["entity", "field"]).withColumn("silent", F.sort_array(F.array_except("spoke", "asserts"))).drop("spoke")
 
 
-def fused(claims: DataFrame, trust: DataFrame) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
-    """Every claim with its probability of being true, and the sources' quality."""
-    facts = stored(facts_of(claims, trust))
+def fused(claims: DataFrame, trust: DataFrame, last_only: bool = False) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """Every claim with its log-odds and probability of being true, and the sources' quality."""
+    facts = stored(facts_of(claims, trust, last_only))
     model, prior = source_quality(facts)
-    return facts.withColumn("p_true", probability(model, prior)), model
+    return scored(facts, model, prior), model
 
 
-def survivors(claims: DataFrame, trust: DataFrame) -> DataFrame:
-    """(entity, field, value): of each entity and field with a claim the value of the most trusted source, of its values the latest, then the most probable, then the greatest.
+def survivors(claims: DataFrame, trust: DataFrame, trust_weight: float | None = None) -> DataFrame:
+    """(entity, field, value): of each entity and field with a claim the value with the greatest log-odds of being true, of equals the greatest.
 
-    Sources without a trust rank come last, null times first; repeated rows change nothing; no claims, no rows.
+    A source asserts what it said last (null times first; of one time all). ``trust_weight`` is the prior's log-odds for one step
+    of trust; without one it exceeds all evidence, so that the most trusted source's last value survives whatever others say.
+    Sources without a trust rank come last; repeated rows change nothing; no claims, no rows.
     """
-    facts, _ = fused(claims, trust)
-    order = F.struct("best.trust", "best.source", "best.at", "p_true", "value")
+    facts, model = fused(claims, trust, last_only=True)
+    weight = 2 * LIMIT * len(model) + 1 if trust_weight is None else trust_weight
+    order = F.struct((F.col("trust") * weight + F.col("odds")).alias("odds"), "value")
     return facts.groupBy("entity", "field").agg(F.max(order).alias("o")).select("entity", "field", F.col("o.value").alias("value"))
 
 

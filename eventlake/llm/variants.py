@@ -70,11 +70,12 @@ def shared_words(distinct_names: DataFrame, place: bool = False) -> list[str]:
     return sorted({w for w in often if N.skeleton(w) in shared} | set(fixed))
 
 
-SIGNATURE = "name string, key string, frame string, stem string, rest string, initial boolean, initial_frame string, linkable boolean"
+SIGNATURE = "name string, key string, frame string, stem string, rest string, initial boolean, initial_frame string, linkable boolean, others string"
+_TYPES = (pa.string(),) * 5 + (pa.bool_(), pa.string(), pa.bool_(), pa.string())
 
 
 def signatures(distinct_names: DataFrame, words: list[str], place: bool = False) -> DataFrame:
-    """Each name's signature: key (equal for equal acts), frame (must be equal), stem (may be misspelt), rest (other rare words, exact)."""
+    """Each name's signature: key (equal for equal acts), frame (must be equal), stem (may be misspelt), rest (other rare words, exact), others (shared words, numbers and other long words)."""
     shared = distinct_names.sparkSession.sparkContext.broadcast(words)
 
     def f(batches):
@@ -87,7 +88,7 @@ def signatures(distinct_names: DataFrame, words: list[str], place: bool = False)
                 if place:
                     n = n._replace(stems=tuple(s for s in n.stems if s not in DISTRICT) or n.stems, numbers=())
                 if n.tribute or (not place and N._EVENT.search(text)) or (place and N.NOWHERE.match(text)):
-                    rows.append((text, "!" + " ".join(text.lower().split()), "", "", "", False, None, False))
+                    rows.append((text, "!" + " ".join(text.lower().split()), "", "", "", False, None, False, ""))
                     continue
                 stem = max(n.stems, key=len, default="")
                 rest = list(n.stems)
@@ -96,8 +97,9 @@ def signatures(distinct_names: DataFrame, words: list[str], place: bool = False)
                 first = [r for r in n.roles if r in firsts]
                 own = tuple(r for r in n.roles if r[0] != "#")  # without a stem, the shared words tell the act: all must be equal
                 as_initial = n._replace(roles=tuple(r for r in own if r not in first), initials=(first[0][0],)).frame if len(first) == 1 and not n.initials else None
-                rows.append((text, n.key, n.frame, stem, " ".join(rest), bool(n.initials), n._replace(roles=own).frame if n.initials else as_initial, bool(stem or set(own) - set(first))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(),) * 5 + (pa.bool_(), pa.string(), pa.bool_()))] if rows else [pa.array([], t) for t in (pa.string(),) * 5 + (pa.bool_(), pa.string(), pa.bool_())], names=["name", "key", "frame", "stem", "rest", "initial", "initial_frame", "linkable"])
+                rows.append((text, n.key, n.frame, stem, " ".join(rest), bool(n.initials), n._replace(roles=own).frame if n.initials else as_initial, bool(stem or set(own) - set(first)), " ".join((*own, *n.numbers, *(w for w in rest if len(w) > 5)))))
+            columns = zip(*rows) if rows else [()] * len(_TYPES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=[c.split()[0] for c in SIGNATURE.split(", ")])
 
     return distinct_names.select("name").mapInArrow(f, SIGNATURE)
 
@@ -147,8 +149,8 @@ LIKELY = "d <= 1 OR (substr(x, 1, 1) = substr(y, 1, 1) AND substr(x, -1, 1) = su
 
 
 def name_groups(names: DataFrame, place: bool = False, aliases: DataFrame | None = None) -> DataFrame:
-    """(name, grp, stem): the group of each distinct non-null name of ``names`` (name); names of one group mean the same. stem is
-    the name's longest rare word, empty for tribute acts and events.
+    """(name, grp, stem, others): the group of each distinct non-null name of ``names`` (name); names of one group mean the same.
+    stem is the name's longest rare word and others its shared words, numbers and other long words, both empty for tribute acts and events.
 
     ``aliases`` (name, alias) links a name with another one of its owner, if no other group of names claims that alias;
     an owner without an alias has a null one. Towns' shared words are those of the owners and aliases, or fixed ones: in
@@ -174,8 +176,8 @@ def name_groups(names: DataFrame, place: bool = False, aliases: DataFrame | None
     if aliases is not None:
         extra = extra.unionByName(_alias_edges(aliases, named, grouped))
     merged = components(extra)
-    out = grouped(named.select("name", "key", "stem"), "key").join(merged, F.col("grp") == merged["node"], "left")
-    return out.select("name", F.coalesce("component", "grp").alias("grp"), "stem")
+    out = grouped(named.select("name", "key", "stem", "others"), "key").join(merged, F.col("grp") == merged["node"], "left")
+    return out.select("name", F.coalesce("component", "grp").alias("grp"), "stem", "others")
 
 
 def _initial_edges(sigs: DataFrame, grouped) -> DataFrame:

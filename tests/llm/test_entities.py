@@ -69,6 +69,18 @@ def test_quality_is_inferred_and_many_values_kept(spark):
     assert max(per_entity) > 1
 
 
+def test_evidence_outvotes_trust_of_little_weight(spark, rows):
+    """With a weak prior the model decides; by default the stated trust does, and the model between sources of one rank."""
+    claims, _ = simulated(spark)
+    said = [("x", "f", "right", s, T0) for s in ("good", "fair", "more", "most")] + [("x", "f", "wrong", "poor", T0), ("y", "f", "a", "fair", T0), ("y", "f", "b", "good", T0), ("y", "f", "z", "poor", T0), ("y", "f", "old", "good", T0 - dt.timedelta(days=1))]
+    claims = claims.unionByName(spark.createDataFrame(said, claims.schema))
+    worst = spark.createDataFrame([("poor", 9), ("good", 2), ("fair", 2), ("more", 1), ("most", 1)], "provider string, trust int")
+    pick = lambda **k: {r.entity: r.value for r in survivor.survivors(claims, worst, **k).where("entity IN ('x', 'y')").collect()}
+    assert pick() == {"x": "wrong", "y": "z"} and pick(trust_weight=0.0)["x"] == "right"
+    flat = spark.createDataFrame([("good", 2), ("fair", 2), ("poor", 1)], "provider string, trust int")
+    assert {r.entity: r.value for r in survivor.survivors(claims, flat).where("entity = 'y'").collect()} == {"y": "b"}
+
+
 ROSTER = [(1, "Alexander Bofutar", None), (2, "Anastasia Bofutar", None), (3, "Kevaruzim Wolves", None), (4, "Kevaruzim Foxes", None), (5, "The Quiet Zosepak", None), (6, "Pumavor 38", None), (7, "Pumavor 40", None), (8, "Lekanor & the Wolves", None)]
 ROSTER += [(20 + i, f"{f} {s}", None) for i, (f, s) in enumerate(itertools.product(("Alexander", "Anastasia", "The Quiet"), ("Midoral", "Gafunek", "Tobirus")))]
 ROSTER += [(40 + i, f"{s} {n}", None) for i, (s, n) in enumerate(itertools.product(("Hurabol", "Zimekad"), ("Wolves", "Foxes")))]
