@@ -6,28 +6,28 @@ a later one. The whole ladder is one JVM expression next to the scan; branches a
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.text import WS, lookup, trim
+from eventlake.session import broadcast_if_small, cut, spread
 
 GRACE_DAYS = 31  # a date without a year stays in the base year if it is no more days past
 # Month words (English, German, Dutch, Serbian, Spanish, Croatian, Russian).
-MONTH_WORDS = {
-    "01": "jan januar january januari ene enero январь января",
-    "02": "feb februar february februari febrero февраль февраля",
-    "03": "mrz märz mar march mart maart marzo март марта",
-    "04": "apr april abr abril travnja апрель апреля",
-    "05": "mai may mei maj mayo svibnja май мая",
-    "06": "jun juni june junio lipnja июнь июня",
-    "07": "jul juli july julio srpnja июль июля",
-    "08": "aug august avgust augustus ago agosto kolovoza август августа",
-    "09": "sep september septembar septiembre setiembre rujna сентябрь сентября",
-    "10": "okt oktober oct october oktobar octubre listopada октябрь октября",
-    "11": "nov november novembar noviembre studenog studenoga ноябрь ноября",
-    "12": "dez dezember dec december decembar dic diciembre prosinca декабрь декабря",
-}
-MONTHS = {w: n for n, words in MONTH_WORDS.items() for w in words.split()}
+MONTHS = {
+    "jan": "01", "januar": "01", "january": "01", "januari": "01", "ene": "01", "enero": "01", "январь": "01", "января": "01",
+    "feb": "02", "februar": "02", "february": "02", "februari": "02", "febrero": "02", "февраль": "02", "февраля": "02",
+    "mrz": "03", "märz": "03", "mar": "03", "march": "03", "mart": "03", "maart": "03", "marzo": "03", "март": "03", "марта": "03",
+    "apr": "04", "april": "04", "abr": "04", "abril": "04", "travnja": "04", "апрель": "04", "апреля": "04",
+    "mai": "05", "may": "05", "mei": "05", "maj": "05", "mayo": "05", "svibnja": "05", "май": "05", "мая": "05",
+    "jun": "06", "juni": "06", "june": "06", "junio": "06", "lipnja": "06", "июнь": "06", "июня": "06",
+    "jul": "07", "juli": "07", "july": "07", "julio": "07", "srpnja": "07", "июль": "07", "июля": "07",
+    "aug": "08", "august": "08", "avgust": "08", "augustus": "08", "ago": "08", "agosto": "08", "kolovoza": "08", "август": "08", "августа": "08",
+    "sep": "09", "september": "09", "septembar": "09", "septiembre": "09", "setiembre": "09", "rujna": "09", "сентябрь": "09", "сентября": "09",
+    "okt": "10", "oktober": "10", "oct": "10", "october": "10", "oktobar": "10", "octubre": "10", "listopada": "10", "октябрь": "10", "октября": "10",
+    "nov": "11", "november": "11", "novembar": "11", "noviembre": "11", "studenog": "11", "studenoga": "11", "ноябрь": "11", "ноября": "11",
+    "dez": "12", "dezember": "12", "dec": "12", "december": "12", "decembar": "12", "dic": "12", "diciembre": "12", "prosinca": "12", "декабрь": "12", "декабря": "12",
+}
 LETTERS = "[a-zа-яёäöüß]"
 
 
@@ -54,6 +54,7 @@ def _ladder(raw: Column, s: Column, spaced: Column, base: Column) -> list[tuple[
         gone = F.datediff(base, F.try_to_date(this, "yyyy-MM-dd")) > GRACE_DAYS
         return F.when(F.coalesce(gone, F.lit(False)), F.concat((F.year(base) + 1).cast("string"), F.lit("-"), m, F.lit("-"), two(d))).otherwise(this)
 
+    # The shapes of dates that are read, in this order.
     es3, es2 = rf"^(\d{{1,2}}){w}+de{w}+([a-zà-ÿ]+){w}+de{w}+(\d{{4}})$", rf"^(\d{{1,2}}){w}+de{w}+([a-zà-ÿ]+)$"
     dots, dots2 = r"^(\d{1,2})\.(\d{1,2})\.(\d{2,4})$", r"^(\d{1,2})\.(\d{1,2})\.?$"
     dmy, mdy = rf"^(\d{{1,2}}){w}+({LETTERS}+){w}+(\d{{4}})$", rf"^({LETTERS}+){w}+(\d{{1,2}}){w}+(\d{{4}})$"
@@ -105,6 +106,16 @@ def parse_date(raw: Column | str, base: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
 
 
+def with_dates(df: DataFrame, raw: str, base: Column, name: str = "day") -> DataFrame:
+    """``df`` with the date of its text ``raw``: each distinct text is read once, whatever its rows, and joined back.
+
+    Texts are few beside rows; the join is a broadcast only if a count proves them few. Null texts have no date.
+    """
+    texts = df.where(F.col(raw).isNotNull()).select(F.col(raw).alias("_text")).distinct()
+    known = cut(spread(cut(texts)).select("_text", parse_date("_text", base).alias(name)))
+    return df.join(broadcast_if_small(known), F.col(raw) == F.col("_text"), "left").drop("_text")
+
+
 def date_branch(raw: Column | str, base: Column) -> Column:
     """The name of the branch that decides, null if none applies."""
     raw = F.col(raw) if isinstance(raw, str) else raw

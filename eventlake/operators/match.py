@@ -7,7 +7,7 @@ edits), so no tier compares each title with each name. A tier only sees what ear
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.text import B0, B1, WS, clean_artist, nfkd, trim
@@ -49,11 +49,14 @@ def spans(titles: DataFrame, longest: int) -> DataFrame:
     """(title, clause, at, span) of every part of a clause a name may fill: its ends are no inner ends of words."""
     t = titles.select("title", first_clause(F.col("title")).alias("clause")).withColumn("_n", F.length("clause")).where(F.col("_n") > SHORT_MAX)
     inner = lambda i: F.substring("clause", i - 1, F.lit(1)).rlike(f"^{WORD}$") & F.substring("clause", i, F.lit(1)).rlike(f"^{WORD}$")
-    every = F.sequence(F.lit(1), F.col("_n"))
-    t = t.withColumn("_s", F.filter(every, lambda i: (i == 1) | ~inner(i))).withColumn("_e", F.filter(F.sequence(F.lit(2), F.col("_n") + 1), lambda i: (i == F.col("_n") + 1) | ~inner(i)))
-    t = t.select("title", "clause", "_n", F.explode("_s").alias("at"), "_e").select("title", "clause", "_n", "at", F.explode("_e").alias("to"))
+    every = F.sequence(F.lit(1), F.col("_n") + 1)
+    # Ends of words, once a clause; a start meets only the ends that the shortest share and the longest name leave it, so a title of n words has at most n times as many spans as the longest name has words.
+    t = t.withColumn("_b", F.filter(every, lambda i: (i == 1) | (i == F.col("_n") + 1) | ~inner(i)))
+    least = F.greatest(F.lit(SHORT_MAX + 1), F.ceil(COVERAGE * F.col("_n")).cast("int"))
+    t = t.select("title", "clause", "_n", F.explode("_b").alias("at"), "_b", least.alias("_least"))
+    t = t.select("title", "clause", "_n", "at", F.explode(F.filter("_b", lambda i: (i - F.col("at")).between(F.col("_least"), F.lit(longest)))).alias("to"))
     size = F.col("to") - F.col("at")
-    return t.where((size > SHORT_MAX) & (size <= longest) & (size >= COVERAGE * F.col("_n"))).select("title", "clause", "at", F.substring("clause", F.col("at"), size).alias("span"))
+    return t.select("title", "clause", "at", F.substring("clause", F.col("at"), size).alias("span"))
 
 
 def contained(titles: DataFrame, names: DataFrame) -> DataFrame:
@@ -126,8 +129,3 @@ def resolve(raw: DataFrame, whitelist: DataFrame, artist: str = "artist") -> Dat
     cleaned = raw.withColumn("title", clean_artist(artist))
     hits = match_titles(cleaned.select("title"), whitelist).withColumnRenamed("name", "matched")
     return cleaned.join(hits, "title", "left")
-
-
-def ranked_once(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key."""
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")

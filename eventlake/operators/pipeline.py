@@ -49,7 +49,7 @@ def judge(raw: DataFrame, whitelist: DataFrame, base: Column) -> DataFrame:
 
     Each row has the first reason of: incomplete, not approved, bad date, past date, invalid.
     """
-    df = match.resolve(raw, whitelist.drop("_x")).withColumn("day", dates.parse_date("date", base)).withColumn("start_time", text.embedded_time("date"))
+    df = match.resolve(dates.with_dates(raw, "date", base), whitelist).withColumn("start_time", text.embedded_time("date"))
     sites = whitelist.groupBy(F.col("name").alias("_name")).agg(F.max_by("website", "ord").alias("website"))
     df = df.join(sites, F.col("matched") == F.col("_name"), "left").withColumn("link", F.coalesce(F.nullif("website", F.lit("")), text.trim("ticket_url")))
     reason = (

@@ -63,7 +63,8 @@ DATE = f"""CASE WHEN regexp_matches({_S}, '{_ES}') THEN {_MAKE(_X(_ES, 3), _MONT
  WHEN regexp_matches({_S}, '{_DM}') AND {_MONTH(_X(_DM, 2))} IS NOT NULL THEN {_YEARLESS(_MONTH(_X(_DM, 2)), _X(_DM, 1))}
  WHEN regexp_matches(date, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN try_cast(substr(date, 1, 10) AS DATE) END"""
 SQL["F13_concert_key"] = SQL["F13_concert_key"].replace("{DATE}", DATE)
-_simple("D_parse_date", lambda: dates.parse_date("date", day()), DATE)
+QUERIES["D_parse_date"] = lambda spark, sf_dir: dates.with_dates(raw_events(spark, sf_dir).select("seq", "date"), "date", day(), "value").select("seq", "value")
+SQL["D_parse_date"] = f"WITH {ORACLE} SELECT seq, {DATE} AS value FROM raw_event"
 
 
 def d_branches(spark, sf_dir):

@@ -30,12 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Where that is unset a temporary one is made, but only
+    if all runs in one process; a cluster's nodes would each have another."""
     sc = spark.sparkContext
     here = sc.getCheckpointDir()
     if here:
         return here
     named = sc.getConf().get("spark.checkpoint.dir")
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="eventlake-"))
     return sc.getCheckpointDir()
 
@@ -59,5 +62,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores, dealt out to all: for rows that are few bytes but dear to work on. A large table, of many splits, stays as it is."""
+    n = parallelism(df.sparkSession)
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.session import table
+from eventlake.session import spread, table
 
 BASE = "1998-06-15"
 
@@ -52,18 +52,19 @@ NAMES = "names AS (SELECT p_name AS name, min(p_partkey) AS ord FROM part GROUP
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw listing an order, with free-text performer, date, venue and country."""
-    tables = {t: table(spark, sf_dir, t) for t in ("orders", "customer", "part")}
+    tables = {"orders": spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")), "customer": table(spark, sf_dir, "customer"), "part": table(spark, sf_dir, "part")}
     return spark.sql(RAW_SQL, **tables)
 
 
 def with_echo(raw: DataFrame) -> DataFrame:
     """Each listing and a later copy of it from another source, whose link is always there."""
     cols = ["seq", "artist", "date", "venue", "city", "country", "lat", "lng", "ticket_url", "original_source"]
-    echo = raw.select(
-        (F.col("seq") + 1000000000).alias("seq"), F.upper("artist").alias("artist"), "date", "venue", "city", "country", "lat", "lng",
-        F.coalesce("ticket_url", F.concat(F.lit("https://u.example/"), F.col("seq").cast("string"))).alias("ticket_url"), F.lit("bandsintown.com").alias("original_source"),
-    )
-    return raw.select(*cols).unionByName(echo)
+    other = {
+        "seq": F.col("seq") + 1000000000, "artist": F.upper("artist"), "original_source": F.lit("bandsintown.com"),
+        "ticket_url": F.coalesce("ticket_url", F.concat(F.lit("https://u.example/"), F.col("seq").cast("string"))),
+    }
+    both = F.array(F.struct(*cols), F.struct(*[other.get(c, F.col(c)).alias(c) for c in cols]))
+    return raw.select(F.explode(both).alias("_r")).select("_r.*")  # one scan for both
 
 
 def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
