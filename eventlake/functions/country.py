@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import lru_cache
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # English and native country names and their two-letter codes.
@@ -15,6 +17,22 @@ NAMES = {
     "estonia": "EE", "latvia": "LV", "lithuania": "LT", "luxembourg": "LU", "georgia": "GE", "armenia": "AM", "kazakhstan": "KZ", "montenegro": "ME", "north macedonia": "MK", "bosnia and herzegovina": "BA", "albania": "AL", "cyprus": "CY", "malta": "MT", "belarus": "BY", "moldova": "MD", "united arab emirates": "AE", "morocco": "MA", "egypt": "EG", "kenya": "KE", "nigeria": "NG",
 }
 
+# Further names of countries in feeds, as they are written there.
+ALIASES = {
+    "turkey": "TR", "türkiye": "TR", "russia": "RU", "south korea": "KR", "north korea": "KP", "czech republic": "CZ", "czechia": "CZ", "usa": "US", "united states of america": "US", "uk": "GB", "vietnam": "VN", "laos": "LA", "syria": "SY", "taiwan": "TW", "macau": "MO",
+    "ivory coast": "CI", "democratic republic of the congo": "CD", "republic of the congo": "CG", "bolivia": "BO", "venezuela": "VE", "tanzania": "TZ", "moldova": "MD",
+    "日本": "JP", "中国": "CN", "中國": "CN", "대한민국": "KR", "한국": "KR", "台灣": "TW", "台湾": "TW", "香港": "HK", "ประเทศไทย": "TH", "ไทย": "TH", "россия": "RU", "deutschland": "DE", "españa": "ES", "méxico": "MX", "brasil": "BR",
+}
+OWN = {"the netherlands": "NL"}  # beyond those
+
+
+@lru_cache(maxsize=1)
+def feed_names() -> dict[str, str]:
+    """Lower-case English names of all countries, as the JVM's locale data has them, and :data:`ALIASES`, with their codes."""
+    locale = SparkSession.active()._jvm.java.util.Locale
+    english = locale.ENGLISH
+    return {locale("", c).getDisplayCountry(english).lower(): c for c in locale.getISOCountries()} | ALIASES | OWN
+
 
 def code_of(name: str | None) -> str | None:
     """The two-letter code a country is written as or named by; null if it is neither."""

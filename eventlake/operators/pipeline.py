@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions import dates, text
-from eventlake.operators import match
+from eventlake.operators import match, records
 
+SOCIALS = "struct<" + ",".join(f"{n}:string" for n in records.NETWORKS) + ">"
 REQUIRED = ("artist", "date", "venue", "city", "country", "original_source", "scraped_at")
 
 
@@ -50,7 +51,8 @@ def judge(raw: DataFrame, whitelist: DataFrame, base: Column) -> DataFrame:
     Each row has the first reason of: incomplete, not approved, bad date, past date, invalid.
     """
     df = match.resolve(dates.with_dates(raw, "date", base), whitelist).withColumn("start_time", text.embedded_time("date"))
-    sites = whitelist.groupBy(F.col("name").alias("_name")).agg(F.max_by("website", "ord").alias("website"))
+    told = F.struct(records.field(whitelist, "website").alias("website"), (records.socials("socials") if "socials" in whitelist.columns else F.lit(None).cast(SOCIALS)).alias("socials"), records.field(whitelist, "mbid").alias("mbid"))
+    sites = whitelist.groupBy(F.col("name").alias("_name")).agg(F.max_by(told, "ord").alias("_m")).select("_name", "_m.*")
     df = df.join(sites, F.col("matched") == F.col("_name"), "left").withColumn("link", F.coalesce(F.nullif("website", F.lit("")), text.trim("ticket_url")))
     reason = (
         F.when(~filled(*REQUIRED), "incomplete")
@@ -63,10 +65,10 @@ def judge(raw: DataFrame, whitelist: DataFrame, base: Column) -> DataFrame:
 
 
 def concerts(judged: DataFrame) -> DataFrame:
-    """The kept rows of :func:`judge` as concerts."""
+    """The kept rows of :func:`judge` as concerts; festival and line-up as far as the listings have them."""
     return judged.where(F.col("drop_reason").isNull()).select(
-        "seq", F.col("matched").alias("artist"), F.col("day").alias("date"), "start_time", text.trim("venue").alias("venue"), text.venue_kind("venue").alias("venue_kind"),
-        text.trim("city").alias("city"), text.country("country").alias("country"), "lat", "lng", F.col("link").alias("ticket_url"), "original_source", "scraped_at",
+        "seq", F.col("matched").alias("artist"), records.filled("website").alias("artist_website"), F.col("socials").alias("artist_socials"), records.spotify_id("socials.spotify").alias("spotify_id"), records.filled("mbid").alias("mbid"), F.col("day").alias("date"), "start_time", text.trim("venue").alias("venue"), text.venue_kind("venue").alias("venue_kind"),
+        text.trim("city").alias("city"), text.country("country").alias("country"), "lat", "lng", records.field(judged, "festival", "struct<name:string,url:string>").alias("festival"), records.field(judged, "lineup", "array<string>").alias("lineup"), F.col("link").alias("ticket_url"), "original_source", "scraped_at",
     )
 
 

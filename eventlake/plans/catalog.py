@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions import text, urls
 from eventlake.operators import catalog, places, ranking, state
+from eventlake.operators.snapshot_diff import delivery_numbers, diff_deliveries
 from eventlake.session import table
 from eventlake.sources.raw_event import ORACLE, raw_events
 
@@ -250,8 +251,6 @@ def _events(spark, sf_dir):
  SELECT concat(user_id, '|', event_type) AS key, d.day FROM d JOIN days USING (day) ANTI JOIN d p ON p.day = days.prev AND p.user_id = d.user_id AND p.event_type = d.event_type WHERE days.prev IS NOT NULL AND day >= (SELECT max(day) FROM d) - 30""")
 def t04(spark, sf_dir):
     """Keys new against the run before, of the last 30 days; the first run reports nothing."""
-    from eventlake.operators.snapshot_diff import delivery_numbers, diff_deliveries
-
     e = _events(spark, sf_dir).select(F.concat_ws("|", "user_id", "event_type").alias("key"), F.unix_date("day").alias("run"))
     numbers = delivery_numbers(e.select("run"))
     added = diff_deliveries(e, "key", "run", numbers).where("change_kind = 'added'")
@@ -267,8 +266,6 @@ def t05(spark, sf_dir):
     days = e.select("day").distinct()
     bad = e.where("event_type = 'error'").groupBy("user_id", "day").agg(F.count("*").alias("n"))
     # Runs are few; a key's are at most as many, so its set of them is small.
-    from eventlake.operators.snapshot_diff import delivery_numbers
-
     numbers = delivery_numbers(days.select(F.unix_date("day").alias("n")))
     placed = bad.withColumn("at", F.array_position(F.array(*[F.lit(n) for n in numbers]), F.unix_date("day")).cast("int"))
     last_gap = F.expr(f"coalesce(array_max(filter(sequence(1, {len(numbers)}), x -> not array_contains(ats, x))), 0)")
@@ -282,15 +279,15 @@ def w06(spark, sf_dir):
     return state.current_streak(table(spark, sf_dir, "events"), "user_id", F.col("event_type") == "error", "ts")
 
 
-_STATE = "SELECT concert_id, artist, start_time, venue FROM (SELECT *, row_number() OVER (PARTITION BY concert_id ORDER BY scraped_at DESC, loaded_at DESC) AS rn FROM concert_snapshot WHERE snap_no = {}) WHERE rn = 1"
-_THREE = f"b AS ({_STATE.format(103)}), a AS ({_STATE.format(105)}), c AS ({_STATE.format(106)})"
+_STATE = "SELECT concert_id, artist, start_time, venue FROM (SELECT *, row_number() OVER (PARTITION BY concert_id ORDER BY scraped_at DESC, loaded_at DESC) AS rn FROM concert_snapshot WHERE snap_no = (SELECT no FROM nos WHERE back = {})) WHERE rn = 1"
+_THREE = f"nos AS (SELECT snap_no AS no, row_number() OVER (ORDER BY snap_no DESC) AS back FROM (SELECT DISTINCT snap_no FROM concert_snapshot)), b AS ({_STATE.format(3)}), a AS ({_STATE.format(2)}), c AS ({_STATE.format(1)})"
 
 
 def _three(spark, sf_dir):
-    """Three deliveries of the concerts as the states before and after a change, and the current one."""
+    """The last three deliveries of the concerts as the states before and after a change, and the current one."""
     s = table(spark, sf_dir, "concert_snapshot")
     last = lambda n: s.where(F.col("snap_no") == n).groupBy("concert_id").agg(F.max_by(F.struct("artist", "start_time", "venue"), F.struct("scraped_at", "loaded_at")).alias("r")).select("concert_id", "r.*")
-    return last(103), last(105), last(106)
+    return tuple(map(last, delivery_numbers(s.select("snap_no"))[-3:]))
 
 
 _ROW = lambda t: f"to_json([{t}.artist, {t}.start_time, {t}.venue])"
@@ -346,10 +343,12 @@ def t09(spark, sf_dir):
     return log.agg(F.count("*").alias("n"), (F.count("*") > 3).alias("alert"))
 
 
-@query("T01_changed", "WITH h AS (SELECT config_id, snap_no, max(content_hash) AS h FROM venue_cache GROUP BY ALL) SELECT n.config_id, o.h IS DISTINCT FROM n.h AS changed FROM h n LEFT JOIN h o ON o.config_id = n.config_id AND o.snap_no = 106 WHERE n.snap_no = 109")
+@query("T01_changed", "WITH h AS (SELECT config_id, snap_no, max(content_hash) AS h FROM venue_cache GROUP BY ALL) SELECT n.config_id, o.h IS DISTINCT FROM n.h AS changed FROM h n LEFT JOIN h o ON o.config_id = n.config_id AND o.snap_no = (SELECT max(snap_no) FROM h WHERE snap_no < (SELECT max(snap_no) FROM h)) WHERE n.snap_no = (SELECT max(snap_no) FROM h)")
 def t01(spark, sf_dir):
+    """The last delivery against the one before."""
     v = table(spark, sf_dir, "venue_cache").groupBy("config_id", "snap_no").agg(F.max("content_hash").alias("content_hash"))
-    return state.unchanged(v.where("snap_no = 106"), v.where("snap_no = 109"), "config_id")
+    before, last = delivery_numbers(v.select("snap_no"))[-2:]
+    return state.unchanged(v.where(F.col("snap_no") == before), v.where(F.col("snap_no") == last), "config_id")
 
 
 @query("A08_health", "SELECT snap_no, count(*) FILTER (WHERE success) AS ok, count(*) FILTER (WHERE NOT success) AS failed, count(*) FILTER (WHERE not_modified) AS unchanged, string_agg(CASE WHEN NOT success THEN config_id END, ',' ORDER BY config_id) AS failed_ids FROM (SELECT DISTINCT snap_no, config_id, success, not_modified FROM venue_cache) GROUP BY 1")
@@ -423,9 +422,9 @@ def o10(spark, sf_dir):
     return both.groupBy(text.norm_key("name").alias("key")).agg(F.min_by("name", F.struct("r", "name")).alias("name"))
 
 
-@query("O11_except", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("O11_except", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000")
 def o11(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey").subtract(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")))
+    return table(spark, sf_dir, "customer").select("c_custkey").subtract(table(spark, sf_dir, "orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey")))
 
 
 @query("O12_intersect", "SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders")

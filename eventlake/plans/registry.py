@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from eventlake.plans import catalog, extraction, feeds, listings, problems
+from eventlake.plans import catalog, extraction, feeds, listings, problems, records
 
-MODULES = [problems, listings, catalog, extraction, feeds]
+MODULES = [problems, listings, catalog, extraction, feeds, records]
 
 
 def queries() -> dict:

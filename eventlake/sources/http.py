@@ -1,13 +1,15 @@
 """Pages fetched as a data source: one partition a domain, in which addresses are fetched one after another.
 
 Retries wait longer each time, requests to a domain keep a distance, and after three failures in a row the domain is left
-alone. Whoever fetches is passed in, so tests and closed networks need no socket.
+alone for five minutes, when one more request decides. Whoever fetches is passed in, so tests and closed networks need no socket.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import json
 import random
+import re
 import time
 from urllib.parse import urlsplit
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "id string, url string, status int, body string, etag string, error string, attempts int"
-OPEN_AFTER = 3  # failures in a row
+OPEN_AFTER, HALF_OPEN = 3, 300.0  # failures in a row, and seconds until one more try
 # Errors of a connection that may pass.
 PASSING = ("ECONNABORTED", "ECONNRESET", "ETIMEDOUT", "TIMEOUT")
 
@@ -51,6 +53,17 @@ def fetch_with(get, url: str, headers: dict, retries: int, sleep=time.sleep, noi
     raise AssertionError
 
 
+def is_private(host: str | None) -> bool:
+    """A host that must not be fetched: none, a local name, or a private address in any spelling."""
+    h = (host or "").rstrip(".").lower()
+    if not h or h == "localhost" or h.endswith(".localhost"):
+        return True
+    try:
+        return not ipaddress.ip_address(h).is_global
+    except ValueError:
+        return bool(re.fullmatch(r"(?:0x[0-9a-f]+|\d+)(?:\.(?:0x[0-9a-f]+|\d+)){0,3}", h))
+
+
 class _Domain(InputPartition):
     def __init__(self, items: list[dict]):
         self.items = items
@@ -69,9 +82,12 @@ class PageReader(DataSourceReader):
         return [_Domain(v) for _, v in sorted(by.items())]
 
     def read(self, partition: _Domain):
-        get, failed = _getter(self.getter), 0
+        get, failed, since = _getter(self.getter), 0, 0.0
         for n, item in enumerate(partition.items):
-            if failed >= OPEN_AFTER:
+            if is_private(urlsplit(item["url"]).hostname):
+                yield (item["id"], item["url"], None, None, None, "private_host", 0)
+                continue
+            if failed >= OPEN_AFTER and time.monotonic() - since < HALF_OPEN:
                 yield (item["id"], item["url"], None, None, None, "circuit_open", 0)
                 continue
             if n and self.delay:
@@ -79,6 +95,7 @@ class PageReader(DataSourceReader):
             headers = {k: item[v] for k, v in (("If-None-Match", "etag"), ("If-Modified-Since", "last_modified")) if item.get(v)}
             got = fetch_with(get, item["url"], headers, self.retries)
             failed = 0 if got["error"] is None else failed + 1
+            since = time.monotonic()
             yield (item["id"], item["url"], got["status"], got["body"], got["etag"], got["error"], got["attempts"])
 
 
@@ -94,8 +111,14 @@ def _getter(name: str):
         import urllib.error
         import urllib.request
 
+        class Checked(urllib.request.HTTPRedirectHandler):
+            def redirect_request(self, req, fp, code, msg, hdrs, newurl):
+                if is_private(urlsplit(newurl).hostname):
+                    raise ValueError("private_host")
+                return super().redirect_request(req, fp, code, msg, hdrs, newurl)
+
         try:
-            with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=15) as r:
+            with urllib.request.build_opener(Checked).open(urllib.request.Request(url, headers=headers), timeout=15) as r:
                 return r.status, r.read().decode(errors="replace"), r.headers.get("ETag")
         except urllib.error.HTTPError as e:
             return e.code, None, None
@@ -125,12 +148,17 @@ def failure_streaks(log: DataFrame) -> DataFrame:
     return s.withColumn("open", F.col("streak") >= OPEN_AFTER)
 
 
-def failure_reason(error: str, html: str, n_rows: str) -> F.col:
-    """Why a source gave no rows: circuit_open, fetch_error, csr_detected, empty_schedule, selectors_stale; null if it gave some."""
+def failure_reason(error: str, html: str, n_rows: str, allow_empty: str | None = None) -> F.col:
+    """Why a source gave no rows; null if it gave some.
+
+    An error is circuit_open, fetch_error if nothing was received, or parse_error. Without one a source that may be empty has an
+    empty_schedule; others are csr_detected if the page is empty until its scripts run, or else selectors_stale.
+    """
     from eventlake.sources.html import client_rendered
 
     e = F.col(error)
+    empty = F.coalesce(F.col(allow_empty), F.lit(False)) if allow_empty else F.lit(False)
     return (
-        F.when(e == "circuit_open", "circuit_open").when(e.isNotNull(), "fetch_error").when(F.col(n_rows) > 0, F.lit(None))
-        .when(client_rendered(html), "csr_detected").when(F.lower(html).rlike("no (upcoming )?(events|shows|concerts)|keine (termine|veranstaltungen)"), "empty_schedule").otherwise("selectors_stale")
+        F.when(e == "circuit_open", "circuit_open").when(e.isNotNull() & F.col(html).isNull(), "fetch_error").when(e.isNotNull(), "parse_error").when(F.col(n_rows) > 0, F.lit(None))
+        .when(empty, "empty_schedule").when(F.coalesce(client_rendered(html), F.lit(False)), "csr_detected").otherwise("selectors_stale")
     )
