@@ -59,13 +59,17 @@ def redacted(c: Column | str, keys: tuple[str, ...]) -> Column:
     return F.regexp_replace(col(c), rf"([?&](?:{'|'.join(keys)})=)[^&#]*", "$1***")
 
 
-def page_score(html: Column | str, years: str = "2026|2027|2028") -> Column:
+# The weights of a page's score, its years and the widgets that count as a list of dates.
+YEARS, WIDGETS = "2026|2027|2028", r"(?i)widget\.bandsintown\.com|songkick\.com/widget|ticketmaster\.com/.*widget"
+
+
+def page_score(html: Column | str, years: str = YEARS) -> Column:
     """How much a page looks like a list of dates; 8 and more is taken for one. Null pages score null."""
     h = col(html)
     t = F.regexp_replace(without_scripts(h), r"<[^>]+>", " ")
     n = lambda p: F.size(F.regexp_extract_all(t, F.lit(p), F.lit(0)))
     words = lambda w: n(rf"(?i){B0}(?:{'|'.join(w.split())}){B1}")
-    widget = h.rlike(r"(?i)widget\.bandsintown\.com|songkick\.com/widget|ticketmaster\.com/.*widget")
+    widget = h.rlike(WIDGETS)
     return (
         2 * n(rf"{B0}(?:{years}){B1}") + 2 * n(rf"{B0}\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{2,4}}{B1}") + words(MONTH_NAMES) + 0.5 * words(DAY_NAMES)
         + F.least(words(KEYWORDS), F.lit(5)) + F.when(widget, 8).otherwise(0)

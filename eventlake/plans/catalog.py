@@ -220,7 +220,12 @@ def f19(spark, sf_dir):
     return r.join(top, F.col("slug") == F.col("_s")).select("lookup_id", urls.same_site("website", "_w").alias("same")).distinct()
 
 
-@query("F21_page_score")
+_COUNT = lambda p: f"len(regexp_extract_all(t, '(?i)\\b(?:{p})\\b'))"
+_PLAIN = r"regexp_replace(regexp_replace(regexp_replace(text, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '<[^>]+>', ' ', 'g')"
+_SCORE = "2 * " + _COUNT("2026|2027|2028") + " + 2 * " + _COUNT(r"\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4}") + " + " + " + ".join((_COUNT("|".join(urls.MONTH_NAMES.split())), "0.5 * " + _COUNT("|".join(urls.DAY_NAMES.split())), "least(5, " + _COUNT("|".join(urls.KEYWORDS.split())) + ")"))
+
+
+@query("F21_page_score", f"SELECT doc_id, CAST({_SCORE} + CASE WHEN regexp_matches(text, '(?i)widget\\.bandsintown\\.com|songkick\\.com/widget|ticketmaster\\.com/.*widget') THEN 8 ELSE 0 END AS DOUBLE) AS score FROM (SELECT doc_id, text, {_PLAIN} AS t FROM documents)")
 def f21(spark, sf_dir):
     """How much a text looks like a list of dates."""
     d = table(spark, sf_dir, "documents")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from urllib.parse import urlsplit
+
 from pyspark.sql import functions as F
 
-from eventlake.sources import feeds
+from eventlake.session import table
+from eventlake.sources import feeds, sweep
 from eventlake.sources.raw_event import ORACLE, raw_events
 
 _COLUMNS = ("seq", "artist", "date", "start_time", "venue", "city", "country", "lat", "lng", "ticket_url")
@@ -55,3 +59,27 @@ SQL = {
     "S12_feed_b": f"""WITH {ORACLE} SELECT seq, artist, substr(date, 1, 10) AS date, CASE WHEN date LIKE '%T20:30%' THEN '20:30' END AS start_time, venue, city, {_LAND} AS country, lat, lng, ticket_url FROM raw_event WHERE artist NOT LIKE '% Keem'""",
     "S16_feed_c": f"""WITH {ORACLE} SELECT seq, artist, date, '18:00' AS start_time, venue, city, country, lat, lng, ticket_url FROM raw_event WHERE lat IS NOT NULL AND regexp_matches(artist, '[A-Za-z0-9_] \\S+$')""",
 }
+
+
+def served(url: str, headers: dict):
+    """A service without a network: some targets are unknown, some fail, five in a row from 1,200 on; others have up to three pages."""
+    parts = urlsplit(url).path.split("/")
+    key, page = int(parts[1]), int(parts[2])
+    if key % 13 == 0:
+        return 404, None, None
+    if key % 50 == 1 or 1200 <= key <= 1204:
+        return 500, None, None
+    return 200, json.dumps({"page": {"totalPages": key % 4}, "events": [] if key % 4 == 0 else [{"name": f"{key}-{page}"}]}), None
+
+
+def s11(spark, sf_dir):
+    """A sweep over customers; five failures in a row end it."""
+    targets = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_custkey").alias("ord"))
+    got = sweep.sweep(targets, "https://service.example/{key}/{page}", "eventlake.plans.feeds:served", pages=5, total="page.totalPages", items="events", misses=(404,))
+    return got.select("key", "page", "status", "outcome", F.get_json_object("body", "$.events[0].name").alias("first"))
+
+
+QUERIES["S11_sweep"] = s11
+SQL["S11_sweep"] = """WITH c AS (SELECT c_custkey AS k FROM customer), a AS (SELECT k, CASE WHEN k > 1204 THEN 'stopped' WHEN k % 13 = 0 THEN 'miss' WHEN k % 50 = 1 OR k BETWEEN 1200 AND 1204 THEN 'failed' ELSE 'ok' END AS outcome FROM c),
+ p AS (SELECT k, outcome, unnest(CASE WHEN outcome = 'ok' THEN range(greatest(k % 4, 1)) WHEN outcome = 'stopped' THEN [NULL::BIGINT] ELSE [0::BIGINT] END) AS page FROM a)
+ SELECT CAST(k AS VARCHAR) AS key, CAST(page AS INT) AS page, CASE outcome WHEN 'ok' THEN 200 WHEN 'miss' THEN 404 WHEN 'failed' THEN 500 END AS status, outcome, CASE WHEN outcome = 'ok' AND k % 4 > 0 THEN k || '-' || page END AS first FROM p"""
