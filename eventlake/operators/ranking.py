@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.session import stored
+from eventlake.session import broadcast_if_small, stored
 
-WEIGHTS = {"listeners": 0.4, "playcount": 0.15, "sitelinks": 0.25, "inbound": 0.05, "touring": 0.15}  # of the composite score
+# The weights of the composite score.
+WEIGHTS = {"listeners": 0.4, "playcount": 0.15, "sitelinks": 0.25, "inbound": 0.05, "touring": 0.15}
 PAGE = 500
+SLICE = 10_000  # values whose running total one window takes
 
 
 def indexed(df: DataFrame, *order: Column, name: str = "pos") -> DataFrame:
@@ -30,49 +32,50 @@ def indexed(df: DataFrame, *order: Column, name: str = "pos") -> DataFrame:
             at += n
 
     rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(f, schema))
-    sizes = {r[0]: r[1] + 1 for r in rows.groupBy("_pid").agg(F.max("_at")).collect()}  # one number a partition
-    before, offsets = 0, []
-    for p in sorted(sizes):
-        offsets += [F.lit(p), F.lit(before).cast("long")]
-        before += sizes[p]
-    start = F.element_at(F.create_map(*offsets), F.col("_pid")) if offsets else F.lit(0)
-    return rows.withColumn(name, start + F.col("_at")).drop("_pid", "_at")
+    sizes = rows.groupBy("_pid").agg((F.max("_at") + 1).alias("_n"))  # one row a partition
+    starts = sizes.select(F.col("_pid").alias("_p"), (F.sum("_n").over(_running(None, "_pid")) - F.col("_n")).alias("_start"))
+    return rows.join(F.broadcast(starts), F.col("_pid") == F.col("_p")).withColumn(name, F.col("_start") + F.col("_at")).drop("_pid", "_at", "_p", "_start")
 
 
-def percent_rank(df: DataFrame, value: str, name: str = "pr") -> DataFrame:
-    """``df`` with (position of the first equal value) / (n - 1), 0 for a single row; null values come first."""
+def _running(part: str | None, order: str):
+    w = Window.partitionBy(part) if part else Window.partitionBy()
+    return w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def value_positions(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
+    """(_v, _n, _first): each value, how often it is there, and the position of its first row in the order of values, nulls first.
+
+    Values are counted before anything is ordered, so a frequent one is one row. Running totals are taken within slices of 10,000
+    values, and over the slices in one task, which has a row for 10,000 values.
+    """
     counts = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    rows = indexed(counts, F.col("_v").asc_nulls_first())
-    # Running totals of the counts, in the same two steps as positions: within slices of values, then over the slices.
-    slices = rows.withColumn("_slice", F.floor(F.col("pos") / 10_000))
+    rows = indexed(counts, F.col("_v").desc() if descending else F.col("_v").asc_nulls_first())
+    slices = rows.withColumn("_slice", F.floor(F.col("pos") / SLICE))
     within = slices.withColumn("_cum", F.sum("_n").over(_running("_slice", "pos")) - F.col("_n"))
-    total = {r[0]: r[1] for r in slices.groupBy("_slice").agg(F.sum("_n")).collect()}  # one number for 10,000 distinct values
-    before, offsets = 0, []
-    for k in sorted(total):
-        offsets += [F.lit(k).cast("long"), F.lit(before).cast("long")]
-        before += total[k]
-    if not offsets:
-        return df.withColumn(name, F.lit(0.0))
-    first = within.select("_v", (F.element_at(F.create_map(*offsets), F.col("_slice").cast("long")) + F.col("_cum")).alias("_first"))
-    ranked = df.join(first, df[value].eqNullSafe(first["_v"])).drop("_v")
-    return ranked.withColumn(name, F.col("_first") / F.lit(before - 1.0) if before > 1 else F.lit(0.0)).drop("_first")
-
+    total = slices.groupBy(F.col("_slice").alias("_s")).agg(F.sum("_n").alias("_m"))
+    starts = total.select("_s", (F.sum("_m").over(_running(None, "_s")) - F.col("_m")).alias("_start"))
+    return stored(within.join(broadcast_if_small(starts), F.col("_slice") == F.col("_s")).select("_v", "_n", (F.col("_start") + F.col("_cum")).alias("_first")))
 
-def _running(part: str, order: str):
-    from pyspark.sql import Window
 
-    return Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+def percent_rank(df: DataFrame, value: str, name: str = "pr") -> DataFrame:
+    """``df`` with (position of the first equal value) / (n - 1), 0 for a single row; null values come first."""
+    first = value_positions(df, value)
+    n = first.agg(F.sum("_n")).first()[0] or 0
+    if n < 2:
+        return df.withColumn(name, F.lit(0.0))
+    return df.join(first.drop("_n"), df[value].eqNullSafe(first["_v"])).withColumn(name, F.col("_first") / F.lit(n - 1.0)).drop("_v", "_first")
 
 
 def quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
     """(share, value): exact quantiles by linear interpolation between the two nearest positions; null values are left out."""
-    rows = indexed(df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v")), F.col("v"))
-    n = rows.count()
+    at = value_positions(df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v")), "v")
+    n = at.agg(F.sum("_n")).first()[0]
     if not n:
         return df.sparkSession.createDataFrame([], "share double, value double")
     want = [(q, q * (n - 1)) for q in shares]
-    at = sorted({int(x) for _, x in want} | {min(int(x) + 1, n - 1) for _, x in want})
-    found = {r["pos"]: r["v"] for r in rows.where(F.col("pos").isin(at)).collect()}  # two values a share
+    asked = F.array(*[F.lit(p).cast("long") for p in sorted({int(x) for _, x in want} | {min(int(x) + 1, n - 1) for _, x in want})])
+    hit = F.filter(asked, lambda p: (p >= F.col("_first")) & (p < F.col("_first") + F.col("_n")))
+    found = {r["p"]: r["_v"] for r in at.select(F.explode(hit).alias("p"), "_v").collect()}  # two values a share
     out = [(q, found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, n - 1)] - found[int(x)])) for q, x in want]
     return df.sparkSession.createDataFrame(out, "share double, value double")
 
@@ -107,10 +110,12 @@ def selected(df: DataFrame, threshold: float, cap: int) -> DataFrame:
 
 def knee(df: DataFrame, score: str) -> DataFrame:
     """(pos, score) at which the falling curve of scores bends most: the greatest distance of the scaled score from 1 - x, the first such."""
-    rows = indexed(df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("score")), F.desc("score"))
-    ends = rows.agg(F.min("score").alias("a"), F.max("score").alias("b"), F.count("*").alias("n")).first()
+    at = value_positions(df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("score")), "score", descending=True)
+    ends = at.agg(F.min("_v").alias("a"), F.max("_v").alias("b"), F.sum("_n").alias("n")).first()
+    both = F.explode(F.array_distinct(F.array("_first", F.col("_first") + F.col("_n") - 1)))  # of equal scores the gap is greatest at an end
+    rows = at.select(both.alias("pos"), F.col("_v").alias("score"))
     if not ends["n"] or ends["n"] < 2:
-        return rows.select("pos", "score")
+        return rows
     y = (F.col("score") - ends["a"]) / (ends["b"] - ends["a"] or 1.0)
     gap = F.abs(y - (1 - F.col("pos") / (ends["n"] - 1.0)))
     return rows.select("pos", "score", F.round(gap, 9).alias("gap")).agg(F.max_by(F.struct("pos", "score"), F.struct("gap", -F.col("pos"))).alias("m")).select("m.*")

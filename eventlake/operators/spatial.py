@@ -4,7 +4,8 @@ Points lie on the unit sphere, whose three axes are cut into cells as wide as th
 the antimeridian need no special case. The interleaved cell numbers (a Z-order code) sort the points. Quantiles of
 the codes split them into code ranges of equal size; a point is sent to the range that holds its own code, and as a
 query to those that its disc's cells reach into. There a sorted array of codes answers each cell range by binary
-search. A code that by itself fills several ranges (a dense town) has its queries salted over copies of its points.
+search. A code that by itself fills several ranges (a dense town) is split on both sides, each part of its queries meeting each
+part of its points in a task of its own, so that no task holds more than a range's worth of either.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def _codes(edge: float):
 
 
 def _route(edge: float, bounds: np.ndarray, salts: np.ndarray):
-    """Each point to its home range (once for each salt) and, as a query, to the ranges its disc reaches."""
+    """Each point to its home range and, as a query, to the ranges its disc reaches. A range of n parts has a grid of n times n tasks: a point goes to its row of it, a query to its column."""
 
     def f(batches):
         for b in batches:
@@ -92,14 +93,17 @@ def _route(edge: float, bounds: np.ndarray, salts: np.ndarray):
             n = salts[home]
             at = np.repeat(np.arange(len(code)), n)
             own = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            row.append(at), pid.append(home[at]), salt.append(own), query.append(np.zeros(len(at), dtype=np.int8))
+            part = (b.column("id").to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            row.append(at), pid.append(home[at]), salt.append(own * salts[home[at]] + part[at] % salts[home[at]]), query.append(np.zeros(len(at), dtype=np.int8))
             width = np.clip(last - first + 1, 0, None)
             at = np.repeat(np.arange(len(code)), width.sum(axis=1))
             flat = np.repeat(first.ravel(), width.ravel()) + np.arange(width.sum()) - np.repeat(np.cumsum(width.ravel()) - width.ravel(), width.ravel())
             pairs = np.unique(at.astype(np.int64) * (len(salts) + 1) + flat) if len(at) else np.empty(0, dtype=np.int64)
             at, to = pairs // (len(salts) + 1), pairs % (len(salts) + 1)
-            row.append(at), pid.append(to), query.append(np.ones(len(at), dtype=np.int8))
-            salt.append((b.column("id").to_numpy(zero_copy_only=False)[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % salts[to])
+            n = salts[to]
+            own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at, to = np.repeat(at, n), np.repeat(to, n)
+            row.append(at), pid.append(to), salt.append(part[at] % salts[to] * salts[to] + own), query.append(np.ones(len(at), dtype=np.int8))
             take = pa.array(np.concatenate(row))
             kept = [b.column(c).take(take) for c in ("id", "lat", "lng", "grp", "code")]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pid).astype(np.int32)), pa.array(np.concatenate(salt).astype(np.int32)), pa.array(np.concatenate(query)), *kept], names=["pid", "salt", "query", "id", "lat", "lng", "grp", "code"])

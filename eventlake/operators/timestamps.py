@@ -12,7 +12,7 @@ import zoneinfo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.session import broadcast_if_small, cut
+from eventlake.session import broadcast_if_small, shared_dir
 
 # Zone abbreviations and their offsets in minutes.
 ABBREVIATIONS = {
@@ -138,24 +138,31 @@ def parse_dictionary(keys: DataFrame) -> DataFrame:
     return keys.select(*KEY, wall.alias("_wall")).select(*KEY, to_instant(F.col("_wall"), F.nullif(F.col("zone"), F.lit(""))).alias("utc_epoch"))
 
 
+ENTRY = "feed string, raw_date string, raw_time string, zone string, us boolean, utc_epoch long"
+
+
 def refresh_dictionary(keys: DataFrame, path: str) -> DataFrame:
-    """Appends to the dictionary table at ``path`` what it lacks of ``keys`` and returns it whole; known strings are not parsed again."""
+    """Appends to the dictionary table at ``path`` what it lacks of ``keys`` and returns it whole; known strings are not parsed again.
+
+    Files appear only when they are complete. Two runs at once may both add a string; as it means the same instant to both, each
+    string is given once.
+    """
     spark = keys.sparkSession
     fresh = keys.select(*KEY).distinct()
     try:
-        fresh = fresh.join(spark.read.parquet(path), list(KEY), "left_anti")
+        fresh = fresh.join(spark.read.schema(ENTRY).parquet(path), list(KEY), "left_anti")
     except Exception as e:  # no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
     parse_dictionary(fresh).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(ENTRY).parquet(path).groupBy(*KEY).agg(F.max("utc_epoch").alias("utc_epoch"))
 
 
 def event_instants(feed: DataFrame, cities: DataFrame, path: str | None = None) -> DataFrame:
     """(event_id, utc_epoch) of each event with a readable date and time of day; repeated rows come once.
 
-    The dictionary is kept at ``path`` if given, else materialised for this run in the shared folder.
+    The dictionary is kept at ``path``, or without one in the application's shared folder.
     """
     rows = raw_stamps(feed, cities)
-    dictionary = refresh_dictionary(rows, path) if path else cut(parse_dictionary(rows.select(*KEY).distinct()))
+    dictionary = refresh_dictionary(rows, path or f"{shared_dir(feed.sparkSession)}/instants")
     return rows.join(dictionary.where(F.col("utc_epoch").isNotNull()), list(KEY)).select("event_id", "utc_epoch").distinct()
