@@ -82,7 +82,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capa
         fills = first.groupBy("container").agg(F.sum("size").alias("size")).where(F.col("size") < capacity)
         open_ = stored(fills.select(F.col("container").alias("item"), "size"))
         again = _round(open_, capacity, max(math.ceil(open_.count() / group), 1), n).select(F.col("item").alias("container"), F.col("container").alias("moved"))
-        first = first.join(again, "container", "left").withColumn("container", F.coalesce("moved", "container"))
+        first = first.join(again.hint("merge"), "container", "left").withColumn("container", F.coalesce("moved", "container"))  # merged, never broadcast: there are as many rows as containers
     packed = first.select(F.col("item.id").alias(id_col), F.col("item.k").cast("int").alias("piece_no"), F.col("size").alias("n_tokens"), F.col("container").alias("container_id"))
     empty = rows.where("n <= 0").select(F.col("id").alias(id_col), F.lit(0).alias("piece_no"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("long").alias("container_id"))
     return packed.unionByName(empty)
