@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.clean import plain
+from eventlake.operators.ranking import indexed
 from eventlake.session import broadcast_if_small, stored
 
-VOCABULARY = 50_000  # words of a language that have a rank of their own; all rarer ones share the next
+HELD = 50_000  # most frequent words of a language whose ranks every worker holds; the ranks of rarer ones are joined to the texts that reach them
 SHARES = (0.5, 0.6, 0.7, 0.8, 0.9)
 FLUSH = 200_000  # counts a worker holds
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -53,19 +54,22 @@ def _counted(held: dict[str, Counter]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([w for c in held.values() for w in c], pa.string()), pa.array([n for c in held.values() for n in c.values()], pa.int64())], names=["lang", "word", "n"])
 
 
-def ranked_vocabulary(counts: DataFrame, size: int = VOCABULARY) -> DataFrame:
-    """(word, lang, rank): a word belongs to the language in which its share of all words is greatest; ties by name."""
+def ranked_vocabulary(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """(word, lang, rank) of all words, or the first ``size`` of each language: a word belongs to the language in which its share of all words is greatest; ties by name."""
     total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     share = counts.join(F.broadcast(total), "lang")  # one row a language
     own = share.groupBy("word").agg(F.max_by("lang", F.struct(F.col("n") / F.col("all"), "lang")).alias("lang"), F.sum("n").alias("n"))
-    order = (F.desc("n"), F.col("word"))
-    some = own.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64)))  # a language's words are cut in 64 shares first, so that no task sorts them all
-    some = some.withColumn("near", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("near") <= size)
-    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= size).select("word", "lang", "rank")
+    rows = indexed(own, F.col("lang"), F.desc("n"), F.col("word"))
+    starts = rows.groupBy(F.col("lang").alias("_l")).agg(F.min("pos").alias("_s"))
+    ranks = rows.join(F.broadcast(starts), F.col("lang") == F.col("_l")).select("word", "lang", (F.col("pos") - F.col("_s") + 1).alias("rank"))  # one row a language
+    return ranks if size is None else ranks.where(F.col("rank") <= size)
 
 
-def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, lang, FEATURES...) of each text with a word; the language is that of most of its words."""
+def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int = HELD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, text_key, n, held, lang, FEATURES...) of each text with a word; the language is that of most of its words.
+
+    n is the number of its words and held how many of them have a rank in ``vocabulary``; coverage ranks beyond those are size + 1.
+    """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)  # at most ``size`` words a language
 
     def f(batches):
@@ -73,8 +77,8 @@ def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int =
         code = {w: (langs.index(lang) << 32) | rank for w, (lang, rank) in shared.value.items()}
         other = (len(langs) << 32) | (size + 1)
         for b in batches:
-            ids, tongue, rows = [], [], []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids, hashes, tongue, rows = [], [], [], []
+            for key, text, h in zip(*[b.column(i).to_pylist() for i in range(3)]):
                 text = plain(text or "")
                 words = WORD.findall(text.lower())
                 if not words:
@@ -83,17 +87,47 @@ def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int =
                 c = np.fromiter((code.get(w, other) for w in words), np.int64, n)
                 which, rank = c >> 32, c & 0xFFFFFFFF
                 ids.append(key)
+                hashes.append(h)
                 tongue.append(langs[int(np.argmax(np.bincount(which, minlength=len(langs) + 1)[: len(langs)]))])
                 rank.sort()
                 length = np.fromiter(map(len, words), np.int64, n)
                 sentences = sum(1 for s in STOP.split(text) if WORD.search(s))
                 cover = [np.log(rank[min(n, int(np.ceil(q * n))) - 1]) for q in SHARES]
-                rows.append([*cover, np.log(n / sentences), length.mean(), (length >= 9).mean()])
-            table = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(tongue, pa.string()), *[pa.array(table[:, i]) for i in range(len(FEATURES))]], names=[id_col, "lang", *FEATURES])
+                rows.append([n, (c != other).sum(), *cover, np.log(n / sentences), length.mean(), (length >= 9).mean()])
+            table = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES) + 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(hashes, pa.int64()), *[pa.array(table[:, i].astype(np.int64)) for i in range(2)], pa.array(tongue, pa.string()), *[pa.array(table[:, i + 2]) for i in range(len(FEATURES))]], names=[id_col, "text_key", "n", "held", "lang", *FEATURES])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string"))).mapInArrow(f, f"`{id_col}` {kind}, text_key long, n long, held long, lang string, " + ", ".join(f"{x} double" for x in FEATURES))
+
+
+def beyond_held(df: DataFrame, feats: DataFrame, ranks: DataFrame, vocabulary: dict[str, tuple[str, int]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, text_key, COVER...) of the texts some of whose coverage ranks are those of words no worker holds: the exact ones, null where they are held.
+
+    Only these texts' rare words are joined with their ranks; a text's are in order of rank as they stream by.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    deep = feats.where(F.ceil(F.lit(max(SHARES)) * F.col("n")) > F.col("held")).select(F.col(id_col).alias("_id"), F.col("text_key").alias("_h"), "n", "held").distinct()
+    keyed = df.select(id_col, F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"))
+    texts = keyed.join(broadcast_if_small(deep), (F.col(id_col) == F.col("_id")) & (F.col("text_key") == F.col("_h"))).select(id_col, "text_key", "n", "held", "text").dropDuplicates([id_col, "text_key"])
+
+    def f(batches):
+        for b in batches:
+            at, words, counts = [], [], []
+            for i, text in enumerate(b.column(4).to_pylist()):
+                c = Counter(w for w in WORD.findall(plain(text).lower()) if w not in shared.value)
+                at += [i] * len(c)
+                words += c
+                counts += c.values()
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(4)), pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=[id_col, "text_key", "n", "held", "word", "c"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, F.col(text_col).cast("string")).mapInArrow(f, f"`{id_col}` {kind}, lang string, " + ", ".join(f"{x} double" for x in FEATURES))
+    rare = texts.mapInArrow(f, f"`{id_col}` {kind}, text_key long, n long, held long, word string, c long").join(ranks.select("word", "rank"), "word")
+    run = Window.partitionBy(id_col, "text_key").orderBy("rank", "word").rowsBetween(Window.unboundedPreceding, 0)
+    rare = rare.withColumn("_upto", F.col("held") + F.sum("c").over(run))
+    need = lambda q: F.ceil(F.lit(q) * F.col("n"))
+    return rare.groupBy(id_col, "text_key").agg(*[F.log(F.min(F.when((need(q) > F.col("held")) & (F.col("_upto") >= need(q)), F.col("rank")))).alias(f"cover{round(100 * q)}") for q in SHARES])
 
 
 def _standard(feats: DataFrame) -> DataFrame:
@@ -140,14 +174,18 @@ def score(model: dict[int, list[float]]) -> Column:
     return -(F.greatest(*parts) if len(parts) > 1 else parts[0])["l"]
 
 
-def document_features(documents: DataFrame, wanted: DataFrame, size: int = VOCABULARY) -> DataFrame:
-    """Standardised features of the ``wanted`` documents, with ranks counted over all ``documents``."""
-    counts = word_counts(documents)
-    words = {r["word"]: (r["lang"], r["rank"]) for r in ranked_vocabulary(counts, size).toLocalIterator()}  # at most ``size`` a language
-    return _standard(stored(features(wanted, words, size)))
+def document_features(documents: DataFrame, wanted: DataFrame, size: int = HELD) -> DataFrame:
+    """Standardised features of the ``wanted`` documents, with ranks counted over all ``documents``; ``size`` changes where ranks are looked up, not what they are."""
+    ranks = stored(ranked_vocabulary(word_counts(documents)))
+    words = {r["word"]: (r["lang"], r["rank"]) for r in ranks.where(F.col("rank") <= size).toLocalIterator()}  # at most ``size`` a language
+    feats = stored(features(wanted, words, size))
+    exact = beyond_held(wanted, feats, ranks, words)
+    covers = [x for x in FEATURES if x.startswith("cover")]
+    joined = feats.join(exact.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_h"), *[F.col(x).alias(f"_{x}") for x in covers]), (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_h")), "left")
+    return _standard(joined.select("doc_id", "lang", *[F.coalesce(f"_{x}", x).alias(x) if x in covers else F.col(x) for x in FEATURES]))
 
 
-def reading_levels(documents: DataFrame, labels: DataFrame, min_chars: int = 250, skip: tuple[str, ...] = ("listing", "log"), size: int = VOCABULARY) -> DataFrame:
+def reading_levels(documents: DataFrame, labels: DataFrame, min_chars: int = 250, skip: tuple[str, ...] = ("listing", "log"), size: int = HELD) -> DataFrame:
     """(doc_id, reading_level) of every unlabelled document of at least ``min_chars`` characters whose kind is not skipped.
 
     Documents without a word (markup or digits only) get the level of most labelled rows. Null kinds are not skipped,

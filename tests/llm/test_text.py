@@ -127,6 +127,16 @@ def test_vocabulary_ranks(spark):
     assert top == 3
 
 
+def test_ranks_are_the_same_wherever_they_are_held(spark):
+    """Ranks of words no worker holds are joined to the texts that reach them: the features do not depend on how many are held."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{''.join(chr(97 + int(c)) for c in str(int(rng.paretovariate(0.7)) % 4000))}" for _ in range(rng.randint(5, 120))) + ".", "en") for i in range(80)] + [(0, "other text of the same id", "en"), (90, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = lambda size: sorted((r.doc_id, r.sentence, *(round(r[x], 9) for x in reading.FEATURES)) for r in reading.document_features(docs, docs, size).collect())
+    whole = held(50_000)
+    assert len(whole) == 81 and held(3) == whole and held(40) == whole
+
+
 def test_damaged_text():
     from eventlake.llm.clean import plain
 
