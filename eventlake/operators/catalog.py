@@ -80,3 +80,49 @@ def beside(left: DataFrame, right: DataFrame, page: str, at: str, limit: float,
     hits = near.join(other, (F.col(page) == F.col("_p")) & (F.col("_s") == F.col("_t"))).where(F.abs(F.col(at) - F.col(f"_r.{at}")) < limit)
     first = hits.groupBy(*left.columns).agg(F.min_by("_r", F.col(f"_r.{order}")).alias("match"))
     return first
+
+
+def denied(terms: DataFrame, deny: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """Distinct terms that are on the deny list and no target. Null terms are none."""
+    return wanted_without(terms.where(F.col(key).isNotNull()).select(key).distinct(), deny, targets, key)
+
+
+def wanted_without(rows: DataFrame, wanted: DataFrame, covered: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is wanted and not covered yet, once each as in ``rows``."""
+    return rows.join(wanted.select(key).distinct(), key, "left_semi").join(covered.select(key).distinct(), key, "left_anti")
+
+
+def with_missing(have: DataFrame, said: DataFrame, key: str) -> DataFrame:
+    """(key) of what is there, as it is, and the distinct names it lacks."""
+    return have.select(key).unionByName(said.select(key).where(F.col(key).isNotNull()).distinct().join(have.select(key), key, "left_anti"))
+
+
+def touring(concerts: DataFrame, artist: str = "artist", country: str = "country") -> DataFrame:
+    """(artist, countries): in how many countries each act plays, codes compared without case."""
+    return concerts.groupBy(artist).agg(F.countDistinct(F.upper(country)).alias("countries"))
+
+
+def seen(entries: DataFrame, name: str, heard: DataFrame, artist: str) -> DataFrame:
+    """``entries`` with ``seen``: whether a listing names them, but for case and blanks; all entries of a name are."""
+    keys = heard.select(text.norm_key(artist).alias("_k")).where(F.col("_k").isNotNull()).distinct().withColumn("seen", F.lit(True))
+    return entries.join(keys, text.norm_key(name) == F.col("_k"), "left").drop("_k").withColumn("seen", F.coalesce("seen", F.lit(False)))
+
+
+def bucket(source: Column | str, buckets: dict[str, str], other: str = "Direct") -> Column:
+    """The label of a source, ``other`` for any that has none."""
+    return F.coalesce(text.lookup(buckets, text.col(source)), F.lit(other))
+
+
+def first_spelling(lists: list[DataFrame], name: str) -> DataFrame:
+    """(key, name): the distinct names of several lists, each in the spelling of the first list that has it."""
+    both = None
+    for i, df in enumerate(lists):
+        part = df.select(F.col(name).alias("name"), F.lit(i).alias("_r"))
+        both = part if both is None else both.unionByName(part)
+    return both.where(F.col("name").isNotNull()).groupBy(text.norm_key("name").alias("key")).agg(F.min_by("name", F.struct("_r", "name")).alias("name"))
+
+
+def counted(df: DataFrame, kinds: dict[str, str], distinct: str) -> DataFrame:
+    """(kind, value, n, names): rows and distinct names by each of several columns, from one scan."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()])
+    return df.select(F.col(distinct).alias("_d"), F.explode(pairs).alias("p")).groupBy("p.kind", "p.value").agg(F.count("*").alias("n"), F.countDistinct("_d").alias("names"))

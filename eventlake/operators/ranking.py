@@ -6,11 +6,8 @@ own rows as they stream by, and the partitions' sizes, one number each, give the
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventlake.session import broadcast_if_small, stored
 
@@ -22,19 +19,12 @@ SLICE = 10_000  # values whose running total one window takes
 
 def indexed(df: DataFrame, *order: Column, name: str = "pos") -> DataFrame:
     """``df`` with each row's position in the order, from 0; ties get any order among them, so give one that is total."""
-    schema = T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_at", T.LongType())])
-
-    def f(batches):
-        pid, at = TaskContext.get().partitionId(), 0
-        for b in batches:
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([pid] * n, pa.int32()), pa.array(range(at, at + n), pa.int64())], names=[*b.schema.names, "_pid", "_at"])
-            at += n
-
-    rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(f, schema))
-    sizes = rows.groupBy("_pid").agg((F.max("_at") + 1).alias("_n"))  # one row a partition
-    starts = sizes.select(F.col("_pid").alias("_p"), (F.sum("_n").over(_running(None, "_pid")) - F.col("_n")).alias("_start"))
-    return rows.join(F.broadcast(starts), F.col("_pid") == F.col("_p")).withColumn(name, F.col("_start") + F.col("_at")).drop("_pid", "_at", "_p", "_start")
+    number = F.monotonically_increasing_id()  # the partition in the upper 31 bits, the row's place in it in the lower 33
+    rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", number))
+    pid, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(pid.alias("_p")).agg((F.max(at) + 1).alias("_n"))  # one row a partition
+    starts = sizes.select("_p", (F.sum("_n").over(_running(None, "_p")) - F.col("_n")).alias("_start"))
+    return rows.withColumn("_pid", pid).join(F.broadcast(starts), F.col("_pid") == F.col("_p")).withColumn(name, F.col("_start") + at).drop("_id", "_pid", "_p", "_start")
 
 
 def _running(part: str | None, order: str):

@@ -39,9 +39,9 @@ def f15(spark, sf_dir):
     return r.select("seq", F.round(places.haversine(F.col("lat"), F.col("lng"), F.lit(52.52), F.lit(13.405)), 6).alias("km"))
 
 
-@query("A03_representatives", f"WITH {_REPS} SELECT country, city, round(lat, 6) AS lat, round(lng, 6) AS lng, total, located FROM reps")
+@query("A03_representatives", f"WITH {_REPS} SELECT country, city, round(lat, 8) AS lat, round(lng, 8) AS lng, total, located FROM reps")
 def a03(spark, sf_dir):
-    return places.representatives(raw_events(spark, sf_dir)).withColumn("lat", F.round("lat", 6)).withColumn("lng", F.round("lng", 6))
+    return places.representatives(raw_events(spark, sf_dir)).withColumn("lat", F.round("lat", 8)).withColumn("lng", F.round("lng", 8))
 
 
 @query("A04_clusters", f"WITH RECURSIVE {_REPS}, {_CLUSTERS} SELECT * FROM clusters")
@@ -62,14 +62,12 @@ def a02(spark, sf_dir):
  FROM raw_event GROUP BY GROUPING SETS ((country), (original_source))""")
 def a07(spark, sf_dir):
     """Concerts and acts by country and by source, from one scan."""
-    r = raw_events(spark, sf_dir)
-    pairs = F.array(F.struct(F.lit("country").alias("kind"), F.col("country").alias("value")), F.struct(F.lit("source").alias("kind"), F.col("original_source").alias("value")))
-    return r.select("artist", F.explode(pairs).alias("p")).groupBy("p.kind", "p.value").agg(F.count("*").alias("n"), F.countDistinct("artist").alias("artists"))
+    return catalog.counted(raw_events(spark, sf_dir), {"country": "country", "source": "original_source"}, "artist").withColumnRenamed("names", "artists")
 
 
 @query("R04_source_bucket", f"WITH {ORACLE} SELECT CASE original_source WHEN 'ticketmaster.com' THEN 'Ticketmaster' WHEN 'bandsintown.com' THEN 'Bandsintown' ELSE 'Direct' END AS bucket, count(*) AS n FROM raw_event GROUP BY 1")
 def r04(spark, sf_dir):
-    bucket = F.when(F.col("original_source") == "ticketmaster.com", "Ticketmaster").when(F.col("original_source") == "bandsintown.com", "Bandsintown").otherwise("Direct")
+    bucket = catalog.bucket("original_source", {"ticketmaster.com": "Ticketmaster", "bandsintown.com": "Bandsintown"})
     return raw_events(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -369,7 +367,7 @@ def a08(spark, sf_dir):
 def p08(spark, sf_dir):
     """Names on the deny list that are no targets."""
     p = table(spark, sf_dir, "part").select(F.lower("p_name").alias("term"), "p_size")
-    return p.select("term").distinct().join(p.where("p_size > 40").select("term"), "term", "left_semi").join(p.where("p_size < 2").select("term"), "term", "left_anti")
+    return catalog.denied(p, p.where("p_size > 40"), p.where("p_size < 2"), "term")
 
 
 @query("J14_candidates", "SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 6)")
@@ -377,18 +375,18 @@ def j14(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     wanted = table(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"))
     covered = table(spark, sf_dir, "lineitem").where("l_quantity > 49 AND l_linenumber = 6").select(F.col("l_suppkey").alias("s_suppkey"))
-    return s.join(wanted, "s_nationkey", "left_semi").join(covered, "s_suppkey", "left_anti").select("s_suppkey")
+    return catalog.wanted_without(s, s.join(wanted, "s_nationkey", "left_semi"), covered, "s_suppkey").select("s_suppkey")
 
 
 @query("J15_missing", "SELECT n_name AS name FROM nation UNION ALL (SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN (SELECT n_name FROM nation))")
 def j15(spark, sf_dir):
     have = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
-    return have.unionByName(table(spark, sf_dir, "part").select(F.col("p_brand").alias("name")).distinct().join(have, "name", "left_anti"))
+    return catalog.with_missing(have, table(spark, sf_dir, "part").select(F.col("p_brand").alias("name")), "name")
 
 
 @query("J16_touring", f"WITH {ORACLE} SELECT artist, count(DISTINCT upper(country)) AS countries FROM raw_event GROUP BY 1")
 def j16(spark, sf_dir):
-    return raw_events(spark, sf_dir).groupBy("artist").agg(F.countDistinct(F.upper("country")).alias("countries"))
+    return catalog.touring(raw_events(spark, sf_dir))
 
 
 @query("J17_unique_owner", "SELECT artist_id FROM artist_catalog WHERE lower(artist_name) IN (SELECT lower(artist_name) FROM artist_catalog GROUP BY 1 HAVING count(*) = 1)")
@@ -409,8 +407,7 @@ def j20(spark, sf_dir):
 @query("J07_last_seen", f"WITH {ORACLE} SELECT p_partkey, lower(p_name) IN (SELECT lower(trim(artist)) FROM raw_event) AS seen FROM part")
 def j07(spark, sf_dir):
     """Entries stamped if a listing names them; all entries of a name are."""
-    heard = raw_events(spark, sf_dir).select(text.norm_key("artist").alias("k")).distinct().withColumn("hit", F.lit(True))
-    return table(spark, sf_dir, "part").withColumn("k", text.norm_key("p_name")).join(heard, "k", "left").select("p_partkey", F.coalesce("hit", F.lit(False)).alias("seen"))
+    return catalog.seen(table(spark, sf_dir, "part"), "p_name", raw_events(spark, sf_dir), "artist").select("p_partkey", "seen")
 
 
 @query("O09_union", "SELECT 1 AS source_rank, c_custkey AS id FROM customer UNION ALL SELECT 2, s_suppkey FROM supplier UNION ALL SELECT 3, p_partkey FROM part")
@@ -423,8 +420,7 @@ def o09(spark, sf_dir):
 def o10(spark, sf_dir):
     """Distinct targets of several lists, the first list's spelling."""
     p = table(spark, sf_dir, "part")
-    both = p.where("p_size < 5").select(F.upper("p_name").alias("name"), F.lit(1).alias("r")).unionByName(p.select(F.col("p_name").alias("name"), F.lit(2).alias("r")))
-    return both.groupBy(text.norm_key("name").alias("key")).agg(F.min_by("name", F.struct("r", "name")).alias("name"))
+    return catalog.first_spelling([p.where("p_size < 5").select(F.upper("p_name").alias("name")), p.select(F.col("p_name").alias("name"))], "name")
 
 
 @query("O11_except", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000")

@@ -6,8 +6,8 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from eventlake.functions import dates, text
-from eventlake.operators import match, pipeline, ranking, records
+from eventlake.functions import dates, text, urls
+from eventlake.operators import catalog, match, pipeline, ranking, records, state
 from eventlake.session import spread, table
 from eventlake.sources import http
 from eventlake.sources.raw_event import ORACLE, raw_events
@@ -269,3 +269,71 @@ def j05_catalog(spark, sf_dir):
     acts = table(spark, sf_dir, "artist_catalog").select(F.col("artist_name").alias("name"), (F.col("artist_id") + 1_000_000).alias("ord"), "aliases")
     titles = spread(table(spark, sf_dir, "change_entry").select("artist")).select(text.clean_artist("artist").alias("title"))
     return match.match_titles(titles, roster.unionByName(acts)).select("title", "name", "tier")
+
+
+# ------------------------------------------------------------------ runs, neighbours, hosts
+@query("T04_run", """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM events), n AS (SELECT max(day) AS last FROM d), k AS (SELECT user_id FROM d, n WHERE day < last AND day >= last - 1)
+ SELECT user_id, CAST(day AS TIMESTAMP) AS detected_at FROM d, n WHERE day BETWEEN last - 3 AND last - 2 UNION ALL SELECT user_id, CAST(last AS TIMESTAMP) FROM d, n WHERE day = last AND user_id NOT IN (SELECT user_id FROM k)""")
+def t04_run(spark, sf_dir):
+    """The change log after the last day's run, which knows the day before; older entries are kept for three days."""
+    d = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "user_id").distinct()
+    last = d.agg(F.max("day")).first()[0]
+    at = lambda n: F.lit(last - datetime.timedelta(days=n))
+    prior = d.where(F.col("day") <= at(2)).select("user_id", F.col("day").cast("timestamp").alias("detected_at"))
+    changes, _ = state.changelog(prior, d.where(F.col("day") == at(0)).select("user_id"), d.where(F.col("day") == at(1)), "user_id", at(0).cast("timestamp"), days=3)
+    return changes
+
+
+@query("T05_run", """WITH e AS (SELECT CAST(ts AS DATE) AS day, user_id FROM events WHERE event_type = 'error'), n AS (SELECT max(CAST(ts AS DATE)) AS last FROM events), h AS (SELECT user_id, count(*) AS f FROM e, n WHERE day < last GROUP BY 1)
+ SELECT user_id, count(*) + coalesce(any_value(f), 0) AS failures, count(*) + coalesce(any_value(f), 0) >= 3 AS prune FROM e JOIN n ON day = last LEFT JOIN h USING (user_id) GROUP BY 1""")
+def t05_run(spark, sf_dir):
+    """The streaks after the last day's run."""
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    last = e.agg(F.max("day")).first()[0]
+    bad = e.where("event_type = 'error'")
+    health = bad.where(F.col("day") < F.lit(last)).groupBy("user_id").agg(F.count("*").alias("failures"))
+    return state.streaks(health, bad.where(F.col("day") == F.lit(last)), "user_id", 3)
+
+
+@query("J22_beside", """WITH l AS (SELECT c_custkey, c_nationkey AS page, c_acctbal AS at FROM customer), r AS (SELECT s_suppkey, s_nationkey AS page, s_acctbal AS at FROM supplier)
+ SELECT c_custkey, min(s_suppkey) AS s_suppkey FROM l JOIN r ON l.page = r.page AND abs(l.at - r.at) < 60 GROUP BY 1""")
+def j22(spark, sf_dir):
+    """The first thing close by on the same page: suppliers beside customers of a nation by their balance."""
+    left = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("page"), F.col("c_acctbal").alias("at"))
+    right = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("page"), F.col("s_acctbal").alias("at"))
+    return catalog.beside(left, right, "page", "at", 60, "s_suppkey").select("c_custkey", "match.s_suppkey")
+
+
+@query("A14_suffixes", """WITH c AS (SELECT artist_id AS ord, artist_id % 3 AS k, regexp_replace(artist_name, '\\s+', ' ', 'g') AS n, mbid FROM artist_catalog WHERE artist_name IS NOT NULL),
+ x AS (SELECT ord, CASE WHEN k = 0 THEN n || ' (band)' ELSE n END AS name, mbid FROM c UNION ALL SELECT ord + 0.5, n, NULL FROM c WHERE k = 0),
+ g AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_replace(name, '^[\\s\\x{a0}]+|[\\s\\x{a0}]+$', '', 'g')), '[\\s\\x{a0}]+', ' ', 'g'), '\\s*\\((band|singer|musician|group|rapper|dj|duo|artist)[^)]*\\)$', '') AS key FROM x)
+ SELECT key, count(*) AS merged, max_by(mbid, ord) FILTER (WHERE mbid IS NOT NULL) AS mbid FROM g GROUP BY 1""")
+def a14(spark, sf_dir):
+    """Names that differ in a bracket only become one, with the last known mbid."""
+    c = table(spark, sf_dir, "artist_catalog").where("artist_name IS NOT NULL").select(F.col("artist_id").cast("double").alias("ord"), F.pmod("artist_id", F.lit(3)).alias("k"), F.regexp_replace("artist_name", r"\s+", " ").alias("n"), "mbid")
+    x = c.select("ord", F.when(F.col("k") == 0, F.concat("n", F.lit(" (band)"))).otherwise(F.col("n")).alias("name"), "mbid").unionByName(c.where("k = 0").select(F.col("ord") + 0.5, F.col("n"), F.lit(None).cast("string")).toDF("ord", "name", "mbid"))
+    key = F.regexp_replace(text.norm_key("name"), r"\s*\((?:band|singer|musician|group|rapper|dj|duo|artist)[^)]*\)$", "")
+    merged = catalog.merged_suffixes(x, "name", "ord", kept=("mbid",)).withColumn("key", key)
+    sizes = x.groupBy(key.alias("key")).agg(F.count("*").alias("merged"))
+    return merged.join(sizes, "key").select("key", "merged", "mbid")
+
+
+HOSTS = [("localhost", True), ("x.localhost", True), ("127.0.0.1", True), ("10.0.0.8", True), ("172.20.1.1", True), ("172.32.1.1", False), ("192.168.1.1", True), ("169.254.169.254", True), ("8.8.8.8", False), ("[::1]", True), ("fe80::1", True), ("fd12::1", True), ("::ffff:10.0.0.1", True), ("0x7f000001", True), ("2130706433", True), ("a.example", False)]
+PAGES = [("https://a.example/x", "https://b.example/", True), ("https://a.example/x", "https://b.example/x/", True), ("https://a.example/x", "https://b.example/y", False), ("https://a.example/x", "https://b.example/index.html", True), ("nothing", "https://b.example/y", True)]
+
+
+@query("S28_private_hosts", "SELECT * FROM (VALUES " + ", ".join(f"('{h}', {str(b).lower()})" for h, b in HOSTS) + ") v(host, private)")
+def s28(spark, sf_dir):
+    return spark.createDataFrame([(h,) for h, _ in HOSTS], "host string").select("host", urls.private_host("host").alias("private"))
+
+
+@query("F20_home_or_same", "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in PAGES) + ") v(a, b, same)")
+def f20(spark, sf_dir):
+    return spark.createDataFrame([p[:2] for p in PAGES], "a string, b string").select("a", "b", urls.home_or_same("a", "b").alias("same"))
+
+
+@query("O04_catalogue_order", "SELECT row_number() OVER (ORDER BY popularity.listeners DESC NULLS LAST, artist_name, artist_id) - 1 AS pos, artist_id FROM artist_catalog WHERE artist_name IS NOT NULL")
+def o04(spark, sf_dir):
+    """The catalogue by score, greatest first, then by name."""
+    c = table(spark, sf_dir, "artist_catalog").where("artist_name IS NOT NULL").select("artist_id", "artist_name", F.col("popularity.listeners").alias("n"))
+    return ranking.indexed(c, F.desc_nulls_last("n"), F.col("artist_name"), F.col("artist_id")).select("pos", "artist_id")

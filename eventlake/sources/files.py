@@ -73,8 +73,8 @@ def index_of(concerts: DataFrame, run_at: Column, page: int = ranking.PAGE) -> D
     return concerts.agg(F.count("*").alias("totalConcerts"), F.countDistinct("artist").alias("uniqueArtists"), F.countDistinct("city").alias("uniqueCities"), F.ceil(F.count("*") / page).alias("pageCount")).select(F.lit(1).alias("schemaVersion"), run_at.alias("lastRun"), F.struct("*").alias("stats"))
 
 
-def publish(concerts: DataFrame, folder: str, run_at: Column) -> None:
-    """Writes the concerts as Parquet and as JSON lists by act, by town and by page, and the index. Each list is replaced as a whole, so what is gone leaves no orphan.
+def publish(concerts: DataFrame, folder: str, run_at: Column, **more: DataFrame) -> None:
+    """Writes the concerts as Parquet and as JSON lists by act, by town and by page, the index, and what else is given by name (status, changes, catalogue, failures). Each list is replaced as a whole, so what is gone leaves no orphan.
 
     Lists are partitions, not files of a driver: a partition's rows are sorted by date, act and town.
     """
@@ -86,6 +86,8 @@ def publish(concerts: DataFrame, folder: str, run_at: Column) -> None:
         rows = paged.withColumn(key, value)
         rows.repartition(key).sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).json(f"{folder}/{name}")
     index_of(concerts, run_at).coalesce(1).write.mode("overwrite").json(f"{folder}/index")
+    for name, df in more.items():
+        df.write.mode("overwrite").json(f"{folder}/{name}")
 
 
 def healthy(previous: int | None, now: int) -> bool:
