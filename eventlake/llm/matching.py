@@ -91,51 +91,58 @@ def keyed(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = No
 
 
 def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> DataFrame:  # noqa: E741
-    """Pairs of one rule: equal keys, none of them null, and dates ``off`` days apart (either way)."""
+    """Pairs of one rule: equal keys, none of them null, and dates ``off`` days apart (either way); the listing's columns are called r_..."""
     shifts = F.array(F.lit(0)) if not off else F.array(F.lit(-off), F.lit(off))
     left = e.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("_s", F.explode(shifts)).withColumn("day", F.date_add("day", F.col("_s"))).drop("_s")
     right = l.select(*[F.col(c).alias(f"r_{c}") for c in l.columns])
-    on = [left[k] == right[f"r_{k}"] for k in (*keys, "day")]
-    return left.join(right, on).select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), "venue", "r_venue", "town", "stem", "r_stem", "others", "r_others", F.col("r_lat").alias("lat"), F.col("r_lng").alias("lng"))
+    return left.join(right, [left[k] == right[f"r_{k}"] for k in (*keys, "day")])
 
 
 def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = None) -> DataFrame:
-    """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is a label from elsewhere, null where it cannot be told."""
+    """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is a label from elsewhere, null where it cannot be told.
+
+    Both tables carry along which rows are open, so a pass reads two small tables and its plan does not grow with the passes before it.
+    """
+    nowhere = F.lit(None).cast("array<struct<lat:double,lng:double>>")
+    if spots is None:
+        entries = entries.withColumn("spots", nowhere)
+    else:
+        entries = entries.join(broadcast_if_small(spots.withColumnRenamed("town", "_town")), F.col("town") == F.col("_town"), "left").drop("_town")
     if "lat" not in listings.columns:
         listings = listings.withColumns({c: F.lit(None).cast("double") for c in ("lat", "lng")})
-    done: DataFrame | None = None
-    if spots is not None:
-        spots = broadcast_if_small(spots)
+    e, l = stored(entries.withColumn("open", F.lit(True))), stored(listings.withColumn("open", F.lit(True)))  # noqa: E741
+    near = F.exists("spots", lambda p: haversine(p["lat"], p["lng"], F.col("r_lat"), F.col("r_lng")) <= NEAR_KM)
+    done: list[DataFrame] = []
     for no, (name, keys, off) in enumerate(RULES, 1):
-        open_l = open_e = closed_e = None
-        if done is not None:
-            open_l = listings.join(done.select(F.col("listing_id").alias("id")).distinct(), "id", "left_anti")
-            resolved = done.select(F.col("entry_id").alias("id")).distinct()
-            open_e, closed_e = entries.join(resolved, "id", "left_anti"), entries.join(resolved, "id", "left_semi")
         if "missing" in name:  # the row without a town must be open; a venue that is told on both sides must not be another
-            pairs = _joined(open_e.where("town IS NULL"), (open_l if off else listings.where("town IS NOT NULL").unionByName(open_l.where("town IS NULL"))), keys, off)
-            pairs = pairs.unionByName(_joined(entries.where("town IS NOT NULL"), open_l.where("town IS NULL"), keys, off))
+            pairs = _joined(e.where("open AND town IS NULL"), l.where("open" if off else "open OR town IS NOT NULL"), keys, off)
+            pairs = pairs.unionByName(_joined(e.where("town IS NOT NULL"), l.where("open AND town IS NULL"), keys, off))
             pairs = pairs.where("venue IS NULL OR r_venue IS NULL OR levenshtein(venue, r_venue, 3) >= 0")
         elif off:
-            pairs = _joined(entries, open_l, keys, off)
-        elif done is None:
-            pairs = _joined(entries, listings, keys, off)
+            pairs = _joined(e, l.where("open"), keys, off)
         else:
-            pairs = _joined(open_e, listings, keys, off).unionByName(_joined(closed_e, open_l, keys, off))
+            pairs = _joined(e.where("open"), l, keys, off)
+            if done:
+                pairs = pairs.unionByName(_joined(e.where("NOT open"), l.where("open"), keys, off))
         if "alike" in name:
             lacks = "size(array_except(split({}, ' '), split({}, ' '))) = 0"
             among = [f"others = '' OR r_others = '' OR {lacks.format(*p)}" for p in (("others", "r_others"), ("r_others", "others"))]
             pairs = pairs.where("length(stem) > 5 AND length(r_stem) > 5 AND levenshtein(stem, r_stem, 2) >= 0").where(" OR ".join(among))
         left_over = F.levenshtein("venue", "r_venue", 3) >= 0 if "town" in keys else F.lit(None).cast("boolean")
-        agrees = left_over
-        if spots is not None:
-            pairs = pairs.join(spots.withColumnRenamed("town", "_town"), F.col("town") == F.col("_town"), "left")
-            near = F.exists("spots", lambda p: haversine(p["lat"], p["lng"], F.col("lat"), F.col("lng")) <= NEAR_KM)
-            agrees = F.coalesce(F.when(F.col("lat").isNotNull() & F.col("lng").isNotNull(), near), left_over)
-        pairs = cut(pairs.select("entry_id", "listing_id", F.lit(no).alias("rule_no"), agrees.alias("agrees")))
-        done = pairs if done is None else done.unionByName(pairs)
-    first = F.min_by(F.col("agrees"), F.col("rule_no"))
-    return done.groupBy("entry_id", "listing_id").agg(F.min("rule_no").alias("rule_no"), first.alias("agrees"))
+        agrees = F.coalesce(F.when(F.col("r_lat").isNotNull() & F.col("r_lng").isNotNull(), near), left_over)
+        found = stored(pairs.select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), F.lit(no).alias("rule_no"), agrees.alias("agrees")))
+        done.append(found)
+        if no < len(RULES):
+            e, l = (_closed(df, found.select(F.col(c).alias("_id")).distinct()) for df, c in ((e, "entry_id"), (l, "listing_id")))  # noqa: E741
+    first, pairs = F.min_by(F.col("agrees"), F.col("rule_no")), done[0]
+    for d in done[1:]:
+        pairs = pairs.unionByName(d)
+    return pairs.groupBy("entry_id", "listing_id").agg(F.min("rule_no").alias("rule_no"), first.alias("agrees"))
+
+
+def _closed(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """``df`` with the rows of ``ids`` no longer open."""
+    return stored(df.join(ids, F.col("id") == F.col("_id"), "left").withColumn("open", F.col("open") & F.col("_id").isNull()).drop("_id"))
 
 
 def matches(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
