@@ -167,7 +167,8 @@ def facts_of(claims: DataFrame, trust: DataFrame, last_only: bool = False) -> Da
 
 def fused(claims: DataFrame, trust: DataFrame, last_only: bool = False) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
     """Every claim with its log-odds and probability of being true, and the sources' quality."""
-    facts = stored(facts_of(claims, trust, last_only))
+    once = stored(claims.groupBy("entity", "field", "value", "source").agg(F.max("at").alias("at")))  # repeats are combined, and values validated, once for all that follows
+    facts = stored(facts_of(once, trust, last_only))
     model, prior = source_quality(facts)
     return scored(facts, model, prior), model
 
