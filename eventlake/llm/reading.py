@@ -176,7 +176,7 @@ def score(model: dict[int, list[float]]) -> Column:
 
 def document_features(documents: DataFrame, wanted: DataFrame, size: int = HELD) -> DataFrame:
     """Standardised features of the ``wanted`` documents, with ranks counted over all ``documents``; ``size`` changes where ranks are looked up, not what they are."""
-    ranks = stored(ranked_vocabulary(word_counts(documents)))
+    ranks = ranked_vocabulary(word_counts(documents))
     words = {r["word"]: (r["lang"], r["rank"]) for r in ranks.where(F.col("rank") <= size).toLocalIterator()}  # at most ``size`` a language
     feats = stored(features(wanted, words, size))
     exact = beyond_held(wanted, feats, ranks, words)
