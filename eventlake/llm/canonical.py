@@ -260,13 +260,13 @@ _BUILT: dict[tuple, tuple] = {}  # of a worker: the resolvers and verbatim names
 
 
 def _resolvers(shared, part: int, place: bool):
-    key = (shared.id if hasattr(shared, "id") else id(shared), part, place)
+    key = (id(shared), part, place)
     if key not in _BUILT:
         if len(_BUILT) >= 4:
             _BUILT.clear()
         entries, verbatim = shared.value
-        _BUILT[key] = (Resolver(entries[part : part + SLICE], place), set(verbatim), len(entries))
-    return _BUILT[key]
+        _BUILT[key] = (Resolver(entries[part : part + SLICE], place), set(verbatim), len(entries), shared)  # held, so that its id is no other's
+    return _BUILT[key][:3]
 
 
 class Reference(NamedTuple):

@@ -41,6 +41,11 @@ def p7_found(spark, sf_dir):
     return variants.same_act_pairs(table(spark, sf_dir, "artist_catalog"), table(spark, sf_dir, "gap_entry"))
 
 
+def p7_groups(spark, sf_dir):
+    """Each row's group by its least id, with the rows and links of the group: the pairs of p7_found without writing them out."""
+    return variants.same_act_groups(table(spark, sf_dir, "artist_catalog"), table(spark, sf_dir, "gap_entry"))
+
+
 def p8_ids(spark, sf_dir):
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def p10_found(spark, sf_dir):
     return reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_label"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_truths, p4_sources, p5_found, p5_confidence, p7_found, p8_ids, p9_containers, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_truths, p4_sources, p5_found, p5_confidence, p7_found, p7_groups, p8_ids, p9_containers, p10_found)}
 
 _HOSTS = {"spotify": r"open\.spotify\.(?:example|com)", "instagram": r"instagram\.(?:example|com)", "facebook": r"facebook\.(?:example|com)", "youtube": r"youtube\.(?:example|com)", "telegram": r"(?:t-me\.example|telegram\.example|t\.me)", "vk": r"vk\.(?:example|com)"}
 _PATHS = {"spotify": "(?:intl-[a-z]{2}/)?artist/", "youtube": "(?:c/|channel/|user/)?"}

@@ -211,6 +211,13 @@ def act_groups(catalog: DataFrame, gaps: DataFrame) -> DataFrame:
     return rows.join(groups, "name").select("id", "grp").distinct()
 
 
+def same_act_groups(catalog: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(id, group_id, n_rows, n_links) of every row with a name: the least id of its group, how many rows that has and how many of them name the same act as this one."""
+    ids = cut(act_groups(catalog, gaps))
+    sizes = ids.groupBy("grp").agg(F.min("id").alias("group_id"), F.count("*").alias("n_rows"))
+    return ids.join(sizes, "grp").select("id", "group_id", "n_rows", (F.col("n_rows") - 1).alias("n_links"))
+
+
 def same_act_pairs(catalog: DataFrame, gaps: DataFrame) -> DataFrame:
     """(a_id, b_id), a_id < b_id: all pairs of rows that name the same act. Rows without a name are in no pair."""
     ids = cut(act_groups(catalog, gaps))

@@ -185,6 +185,8 @@ def test_same_acts(spark, rows):
     ]
     got = rows(variants.same_act_pairs(spark.createDataFrame(acts, CATALOG), spark.createDataFrame([(*g, "") for g in gaps], GAPS)))
     groups = [(1, 2, 101, 102), (4, 103), (5, 106), (6, 110), (10, 108, 112)]
+    whole = {r["id"]: (r.group_id, r.n_rows, r.n_links) for r in variants.same_act_groups(spark.createDataFrame(acts, CATALOG), spark.createDataFrame([(*g, "") for g in gaps], GAPS)).collect()}
+    assert all(whole[i] == (g[0], len(g), len(g) - 1) for g in groups for i in g) and whole[3] == (3, 1, 0) and 107 not in whole
     assert got == sorted((p for g in groups for p in itertools.combinations(g, 2)), key=repr)
 
 
