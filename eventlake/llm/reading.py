@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from eventlake.session import broadcast_if_small, stored
 HELD = 50_000  # most frequent words of a language whose ranks every worker holds; the ranks of rarer ones are joined to the texts that reach them
 SHARES = (0.5, 0.6, 0.7, 0.8, 0.9)
 FLUSH = 200_000  # counts a worker holds
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-STOP = re.compile(r"[.!?;…]+\s|\n+")
+WORD = re.compile(r"[^\W\d_]++(?:['’][^\W\d_]++)*+")
+SENTENCE = re.compile(r"[^\W\d_][^.!?;…\n]*+(?:[.!?;…]++(?!\s)[^.!?;…\n]*+)*+")  # from a letter to a stop before white space, or a line's end
 FEATURES = tuple(f"cover{round(100 * q)}" for q in SHARES) + ("sentence", "letters", "long_words")
 
 
@@ -84,14 +85,14 @@ def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int =
                 if not words:
                     continue
                 n = len(words)
-                c = np.fromiter((code.get(w, other) for w in words), np.int64, n)
+                c = np.fromiter(map(code.get, words, repeat(other)), np.int64, n)
                 which, rank = c >> 32, c & 0xFFFFFFFF
                 ids.append(key)
                 hashes.append(h)
                 tongue.append(langs[int(np.argmax(np.bincount(which, minlength=len(langs) + 1)[: len(langs)]))])
                 rank.sort()
                 length = np.fromiter(map(len, words), np.int64, n)
-                sentences = sum(1 for s in STOP.split(text) if WORD.search(s))
+                sentences = len(SENTENCE.findall(text))
                 cover = [np.log(rank[min(n, int(np.ceil(q * n))) - 1]) for q in SHARES]
                 rows.append([n, (c != other).sum(), *cover, np.log(n / sentences), length.mean(), (length >= 9).mean()])
             table = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES) + 2)
@@ -176,7 +177,7 @@ def score(model: dict[int, list[float]]) -> Column:
 
 def document_features(documents: DataFrame, wanted: DataFrame, size: int = HELD) -> DataFrame:
     """Standardised features of the ``wanted`` documents, with ranks counted over all ``documents``; ``size`` changes where ranks are looked up, not what they are."""
-    ranks = ranked_vocabulary(word_counts(documents))
+    ranks = stored(ranked_vocabulary(word_counts(documents)))
     words = {r["word"]: (r["lang"], r["rank"]) for r in ranks.where(F.col("rank") <= size).toLocalIterator()}  # at most ``size`` a language
     feats = stored(features(wanted, words, size))
     exact = beyond_held(wanted, feats, ranks, words)
