@@ -57,9 +57,15 @@ def _counted(held: dict[str, Counter]) -> pa.RecordBatch:
 
 def ranked_vocabulary(counts: DataFrame, size: int | None = None) -> DataFrame:
     """(word, lang, rank) of all words, or the first ``size`` of each language: a word belongs to the language in which its share of all words is greatest; ties by name."""
-    total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
-    share = counts.join(F.broadcast(total), "lang")  # one row a language
-    own = share.groupBy("word").agg(F.max_by("lang", F.struct(F.col("n") / F.col("all"), "lang")).alias("lang"), F.sum("n").alias("n"))
+    counts = stored(counts)
+    total = sorted((r["lang"], r["all"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("all")).collect())  # one row a language
+    bits = max(len(total), 2).bit_length()
+    langs = counts.sparkSession.createDataFrame([(lang, i, float(2 ** (61 - bits)) / n) for i, (lang, n) in enumerate(total)], "lang string, _no long, _unit double")
+    share = counts.join(F.broadcast(langs), "lang")  # one row a language
+    # The greatest share and its language as one number, which an aggregate can hash: a text or a struct it would have to sort.
+    best = F.max(F.shiftleft((F.col("n") * F.col("_unit")).cast("long"), bits).bitwiseOR(F.col("_no")))
+    own = share.groupBy("word").agg(best.bitwiseAND(F.lit((1 << bits) - 1)).alias("_b"), F.sum("n").alias("n"))
+    own = own.join(F.broadcast(langs.select(F.col("lang"), F.col("_no"))), F.col("_b") == F.col("_no")).select("word", "lang", "n")
     rows = indexed(own, F.col("lang"), F.desc("n"), F.col("word"))
     starts = rows.groupBy(F.col("lang").alias("_l")).agg(F.min("pos").alias("_s"))
     ranks = rows.join(F.broadcast(starts), F.col("lang") == F.col("_l")).select("word", "lang", (F.col("pos") - F.col("_s") + 1).alias("rank"))  # one row a language
