@@ -174,10 +174,10 @@ def r08(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ published records
-_SLUG = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower({0})), '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g'), '[^\p{{L}}\p{{N}}_\s\x{{a0}}-]', '', 'g'), '[\s\x{{a0}}_-]+', '-', 'g'), '^-+|-+$', '', 'g')"
+_SLUG = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower({0})), '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g'), '[^\p{{L}}\p{{N}}\s\x{{a0}}-]', '', 'g'), '[\s\x{{a0}}_-]+', '-', 'g'), '^-+|-+$', '', 'g')"
 
 
-@query("R02_catalog", f"""WITH r AS (SELECT regexp_replace({_SLUG.format('artist_name')}, '_', '', 'g') AS slug, * EXCLUDE (slug) FROM artist_catalog WHERE artist_name <> ''),
+@query("R02_catalog", f"""WITH r AS (SELECT {_SLUG.format('artist_name')} AS slug, * EXCLUDE (slug) FROM artist_catalog WHERE artist_name <> ''),
  f AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY artist_id) AS rn FROM r)
  SELECT slug, artist_name AS name, nullif(website, '') AS website, nullif(mbid, '') AS mbid, nullif(socials.vk, '') AS vk, CASE WHEN len(genres) > 0 THEN array_to_string(genres, ',') END AS genres, CASE WHEN len(aliases) > 0 THEN array_to_string(aliases, ',') END AS aliases, popularity.listeners AS listeners FROM f WHERE rn = 1""")
 def r02(spark, sf_dir):
