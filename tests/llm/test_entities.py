@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from eventlake.llm import canonical, components, matching, names, survivor, variants
+from eventlake.operators.places import spread_labels
 
 T0 = dt.datetime(2026, 1, 1)
 SOCIALS = "struct<spotify:string,instagram:string,facebook:string,youtube:string,telegram:string,vk:string>"
@@ -242,6 +243,19 @@ def test_components_of_long_chains(spark, rows):
     assert len(got) == 150 and set(got.values()) == {"000"}
 
 
+def test_components_in_one_task(spark, rows):
+    """A graph that one task holds costs the driver a few jobs, however long its chains are; the rounds of larger ones give the same."""
+    edges = spark.createDataFrame([(x, y) for x, y in itertools.pairwise([0, *range(149, 0, -1)])] + [(500, 501), (502, 501), (600, 600)], "a long, b long").cache()
+    edges.count()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("held", "")
+    held = rows(spread_labels(edges))
+    spark.sparkContext.setJobGroup("others", "")
+    assert len(jobs("held")) <= 10
+    assert dict(held) == {x: 0 for x in range(150)} | {500: 500, 501: 500, 502: 500, 600: 600}
+    assert held == rows(spread_labels(edges, held=0))
+
+
 ENTRY = "entry_id long, artist string, event_date string, venue string, city string, day string"
 LISTING = "listing_id long, artist string, date_text string, venue string, city string, act string"
 
