@@ -101,7 +101,7 @@ def _joined(e: DataFrame, l: DataFrame, keys: tuple[str, ...], off: int) -> Data
 def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = None) -> DataFrame:
     """(entry_id, listing_id, rule_no, agrees) of keyed rows; agrees is a label from elsewhere, null where it cannot be told.
 
-    Both tables carry along which rows are open, so a pass reads two small tables and its plan does not grow with the passes before it.
+    Both tables are kept as one that carries along which rows are open, so a pass writes its pairs and that table, and its plan does not grow with the passes before it.
     """
     nowhere = F.lit(None).cast("array<struct<lat:double,lng:double>>")
     if spots is None:
@@ -110,10 +110,12 @@ def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = N
         entries = entries.join(broadcast_if_small(spots.withColumnRenamed("town", "_town")), F.col("town") == F.col("_town"), "left").drop("_town")
     if "lat" not in listings.columns:
         listings = listings.withColumns({c: F.lit(None).cast("double") for c in ("lat", "lng")})
-    e, l = stored(entries.withColumn("open", F.lit(True))), stored(listings.withColumn("open", F.lit(True)))  # noqa: E741
+    sides = entries.withColumn("entry", F.lit(True)).unionByName(listings.withColumn("entry", F.lit(False)), allowMissingColumns=True)
+    rows = stored(sides.withColumn("open", F.lit(True)))
     near = F.exists("spots", lambda p: haversine(p["lat"], p["lng"], F.col("r_lat"), F.col("r_lng")) <= NEAR_KM)
     done: list[DataFrame] = []
     for no, (name, keys, off) in enumerate(RULES, 1):
+        e, l = rows.where("entry").drop("entry", "lat", "lng"), rows.where("NOT entry").drop("entry", "spots")  # noqa: E741
         if "missing" in name:  # the row without a town must be open; a venue that is told on both sides must not be another
             pairs = _joined(e.where("open AND town IS NULL"), l.where("open" if off else "open OR town IS NOT NULL"), keys, off)
             pairs = pairs.unionByName(_joined(e.where("town IS NOT NULL"), l.where("open AND town IS NULL"), keys, off))
@@ -133,16 +135,19 @@ def cascade(entries: DataFrame, listings: DataFrame, spots: DataFrame | None = N
         found = stored(pairs.select(F.col("id").alias("entry_id"), F.col("r_id").alias("listing_id"), F.lit(no).alias("rule_no"), agrees.alias("agrees")))
         done.append(found)
         if no < len(RULES):
-            e, l = (_closed(df, found.select(F.col(c).alias("_id")).distinct()) for df, c in ((e, "entry_id"), (l, "listing_id")))  # noqa: E741
+            rows = _closed(rows, found)
     first, pairs = F.min_by(F.col("agrees"), F.col("rule_no")), done[0]
     for d in done[1:]:
         pairs = pairs.unionByName(d)
     return pairs.groupBy("entry_id", "listing_id").agg(F.min("rule_no").alias("rule_no"), first.alias("agrees"))
 
 
-def _closed(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """``df`` with the rows of ``ids`` no longer open."""
-    return stored(df.join(ids, F.col("id") == F.col("_id"), "left").withColumn("open", F.col("open") & F.col("_id").isNull()).drop("_id"))
+def _closed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` of both tables with those of the pairs ``found`` no longer open."""
+    sides = F.explode(F.array(F.struct(F.lit(True).alias("e"), F.col("entry_id").alias("i")), F.struct(F.lit(False).alias("e"), F.col("listing_id").alias("i"))))
+    met = found.select(sides.alias("_m")).select(F.col("_m.e").alias("_e"), F.col("_m.i").alias("_id")).distinct()
+    on = (F.col("entry") == F.col("_e")) & (F.col("id") == F.col("_id"))
+    return stored(rows.join(met, on, "left").withColumn("open", F.col("open") & F.col("_id").isNull()).drop("_e", "_id"))
 
 
 def matches(entries: DataFrame, listings: DataFrame, cities: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import canonical, components, matching, names, survivor, variants
 from eventlake.operators.places import spread_labels
+from eventlake.session import stored
 
 T0 = dt.datetime(2026, 1, 1)
 SOCIALS = "struct<spotify:string,instagram:string,facebook:string,youtube:string,telegram:string,vk:string>"
@@ -276,6 +277,18 @@ def test_matches(spark):
     assert got[2, 11].rule_no == 1 and got[8, 15].rule_no == 5 and all(0 < r.confidence < 1 for r in got.values())
 
 
+def test_a_pass_writes_two_tables(spark, monkeypatch):
+    """Each rule's pairs, and which rows of both tables are open, as one table; they are the plans that fill the driver."""
+    written = []
+    monkeypatch.setattr(matching, "stored", lambda df: written.append(1) or stored(df))
+    cols = "id long, act string, stem string, others string, town string, day date, venue string"
+    day = dt.date(2026, 1, 1)
+    e = spark.createDataFrame([(1, "a", "a", "", "t", day, "v"), (2, "b", "b", "", None, day, None)], cols)
+    l = spark.createDataFrame([(1, "b", "b", "", "t", day, None), (2, "a", "a", "", "t", day, "v")], cols)  # noqa: E741
+    got = {(r.entry_id, r.listing_id, r.rule_no) for r in matching.cascade(e, l).collect()}
+    assert got == {(1, 2, 1), (2, 1, 4)} and len(written) <= 2 * len(matching.RULES)
+
+
 def test_confidence(spark):
     pairs = spark.createDataFrame([(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, None), (4, 4, 2, False), (5, 5, 3, None)], "entry_id long, listing_id long, rule_no int, agrees boolean")
     got = {r.entry_id: r.confidence for r in matching.with_confidence(pairs).collect()}
