@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from itertools import repeat
+from functools import cache
+from itertools import batched, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,31 @@ HELD = 50_000  # most frequent words of a language whose ranks every worker hold
 SHARES = (0.5, 0.6, 0.7, 0.8, 0.9)
 FLUSH = 200_000  # counts a worker holds
 WORD = re.compile(r"[^\W\d_]++(?:['’][^\W\d_]++)*+")
+CHUNK = 500  # texts measured at once
 SENTENCE = re.compile(r"[^\W\d_][^.!?;…\n]*+(?:[.!?;…]++(?!\s)[^.!?;…\n]*+)*+")  # from a letter to a stop before white space, or a line's end
 FEATURES = tuple(f"cover{round(100 * q)}" for q in SHARES) + ("sentence", "letters", "long_words")
 
 
+@cache
+def _letters() -> np.ndarray:
+    """Each code point as it is if it may be part of a word, else a blank."""
+    every = np.arange(0x110000, dtype="<u4")
+    table = np.full(len(every), ord(" "), "<u4")
+    for m in re.finditer(r"[^\W\d_]+|['’]", every.tobytes().decode("utf-32-le", "surrogatepass")):
+        table[m.start() : m.end()] = every[m.start() : m.end()]
+    return table
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, those that WORD finds, in half of its time."""
+    points = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+    if "'" in text or "’" in text:  # one that is not between two letters is blank as well
+        marks = np.pad((points == ord("'")) | (points == ord("’")), 1, constant_values=True)
+        none = marks | np.pad(points == ord(" "), 1, constant_values=True)
+        points[marks[1:-1] & (none[:-2] | none[2:])] = ord(" ")
+    return points.tobytes().decode("utf-32-le", "surrogatepass").split()
+
+
 def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, word, n) over all texts, null languages as ``und``."""
 
@@ -39,7 +61,7 @@ def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text:
                     c = held.setdefault(lang or "und", Counter())
-                    c.update(WORD.findall(plain(text).lower()))
+                    c.update(words_of(plain(text).lower()))
             size = sum(map(len, held.values()))
             if size >= FLUSH:
                 yield _counted(held)
@@ -84,24 +106,30 @@ def features(df: DataFrame, vocabulary: dict[str, tuple[str, int]], size: int =
         code = {w: (langs.index(lang) << 32) | rank for w, (lang, rank) in shared.value.items()}
         other = (len(langs) << 32) | (size + 1)
         for b in batches:
-            ids, hashes, tongue, rows = [], [], [], []
-            for key, text, h in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                text = plain(text or "")
-                words = WORD.findall(text.lower())
-                if not words:
+            ids, hashes, tongue, rows = [], [], [], [np.empty((0, len(FEATURES) + 2))]
+            for part in batched(zip(*[b.column(i).to_pylist() for i in range(3)]), CHUNK):
+                texts = [plain(text or "") for _, text, _ in part]
+                words = [words_of(text.lower()) for text in texts]
+                some = [i for i, ws in enumerate(words) if ws]
+                if not some:
                     continue
-                n = len(words)
-                c = np.fromiter(map(code.get, words, repeat(other)), np.int64, n)
-                which, rank = c >> 32, c & 0xFFFFFFFF
-                ids.append(key)
-                hashes.append(h)
-                tongue.append(langs[int(np.argmax(np.bincount(which, minlength=len(langs) + 1)[: len(langs)]))])
-                rank.sort()
-                length = np.fromiter(map(len, words), np.int64, n)
-                sentences = len(SENTENCE.findall(text))
-                cover = [np.log(rank[min(n, int(np.ceil(q * n))) - 1]) for q in SHARES]
-                rows.append([n, (c != other).sum(), *cover, np.log(n / sentences), length.mean(), (length >= 9).mean()])
-            table = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES) + 2)
+                n = np.array([len(words[i]) for i in some])
+                ends = np.cumsum(n)
+                starts = ends - n
+                every = list(chain.from_iterable(words))
+                c = np.fromiter(map(code.get, every, repeat(other)), np.int64, len(every))
+                length = np.fromiter(map(len, every), np.int64, len(every))
+                text_no = np.repeat(np.arange(len(some)), n)
+                which = np.bincount(text_no * (len(langs) + 1) + (c >> 32), minlength=len(some) * (len(langs) + 1)).reshape(len(some), -1)[:, : len(langs)]
+                rank = np.sort((text_no << 32) | (c & 0xFFFFFFFF)) & 0xFFFFFFFF  # each text's in order, text by text
+                sentences = np.array([len(SENTENCE.findall(texts[i])) for i in some])
+                cover = [np.log(rank[starts + np.minimum(n, np.ceil(q * n).astype(np.int64)) - 1]) for q in SHARES]
+                total = lambda x: np.add.reduceat(x, starts)
+                rows.append(np.column_stack([n, total((c != other).astype(np.int64)), *cover, np.log(n / sentences), total(length) / n, total((length >= 9).astype(np.int64)) / n]))
+                ids += [part[i][0] for i in some]
+                hashes += [part[i][2] for i in some]
+                tongue += [langs[i] for i in np.argmax(which, 1)]
+            table = np.concatenate(rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(hashes, pa.int64()), *[pa.array(table[:, i].astype(np.int64)) for i in range(2)], pa.array(tongue, pa.string()), *[pa.array(table[:, i + 2]) for i in range(len(FEATURES))]], names=[id_col, "text_key", "n", "held", "lang", *FEATURES])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -122,7 +150,7 @@ def beyond_held(df: DataFrame, feats: DataFrame, ranks: DataFrame, vocabulary: d
         for b in batches:
             at, words, counts = [], [], []
             for i, text in enumerate(b.column(4).to_pylist()):
-                c = Counter(w for w in WORD.findall(plain(text).lower()) if w not in shared.value)
+                c = Counter(w for w in words_of(plain(text).lower()) if w not in shared.value)
                 at += [i] * len(c)
                 words += c
                 counts += c.values()

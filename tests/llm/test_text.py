@@ -137,6 +137,13 @@ def test_ranks_are_the_same_wherever_they_are_held(spark):
     assert len(whole) == 81 and held(3) == whole and held(40) == whole
 
 
+def test_words_without_the_pattern():
+    """The table and blanks give the pattern's words, wherever apostrophes, digits and marks stand."""
+    rng = random.Random(3)
+    texts = ["", "'", "l'été d’hier ''a''b'", "x_1y²٣Ⅷ ½ß İ漢😀ªn't'"] + ["".join(rng.choice("aé'’ _1²ßИ漢\n.٣Ⅷ😀'") for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    assert all(reading.words_of(t) == reading.WORD.findall(t) for t in texts)
+
+
 def test_damaged_text():
     from eventlake.llm.clean import plain
 
