@@ -34,10 +34,13 @@ def in_degree(nodes: DataFrame, key: str, edges: DataFrame, target: str) -> Data
 
 
 def resolved_neighbours(rows: DataFrame, key: str, names: str, catalog: DataFrame, name: str, cap: int) -> DataFrame:
-    """(key, found): the first ``cap`` of a row's named neighbours that are in the catalogue, itself left out, in its order."""
+    """(key, found): the first ``cap`` of a row's named neighbours that are in the catalogue, itself left out, in its order.
+
+    The catalogue is shuffled, never broadcast: by the size of its files, compressed and by columns, Spark takes one of a million rows for small.
+    """
     said = rows.select(F.col(key), F.posexplode(names).alias("_i", "_n"))
     known = catalog.select(F.col(name).alias("_n")).distinct()
-    hits = said.join(known, "_n").where(F.col("_n") != F.col(key))
+    hits = said.join(known.hint("merge"), "_n").where(F.col("_n") != F.col(key))
     w = Window.partitionBy(key).orderBy("_i")
     first = hits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
     return first.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_n"))), lambda x: x["_n"]).alias("found"))

@@ -179,3 +179,11 @@ def test_own_extractor(spark):
 
     df = spark.createDataFrame([(1, "x", None)], "page_id long, html string, url string")
     assert html.extract(df, "upper", {}).first().artist == "X"
+
+
+def test_neighbours_are_not_broadcast(spark, rows):
+    """A catalogue's rows are no matter of its estimated size: the driver must not gather them."""
+    said = spark.createDataFrame([(1, [2, 1, 9, 3, 4]), (2, [None, 7])], "k long, names array<long>")
+    got = catalog.resolved_neighbours(said, "k", "names", spark.range(1, 5).withColumnRenamed("id", "name"), "name", 2)
+    assert rows(got) == [(1, [2, 3])]
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
