@@ -230,6 +230,12 @@ def test_cells_lose_no_pair(spark):
     assert want and len(got) == len(set(got)) and set(got) == want
 
 
+def test_meetings_are_not_broadcast(spark):
+    df = spark.createDataFrame([("a", "a", "f", "", False)], "key string, stem string, frame string, rest string, initial boolean")
+    cells = variants._cells(df, "frame")
+    assert "BroadcastHashJoin" not in variants._meetings(cells, spark.range(0).select(F.col("id").alias("cell"), *[F.lit("").alias(c) for c in ("gone", "frame", "key", "stem")]))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components(spark, rows):
     edges = [(f"c{i:03}", f"c{i + 1:03}") for i in range(60)] + [("x", "y"), ("y", "x"), ("z", "z"), (None, "q")] + [("hub", f"leaf{i}") for i in range(50)]
     got = dict(rows(components.components(spark.createDataFrame(edges, "a string, b string"))))
